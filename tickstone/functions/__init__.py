@@ -2,6 +2,7 @@ from tickstone.functions.scalars import (
     format_ts,
     initial,
     initial_pandas,
+    literal,
     lookup,
     micros,
     render_details,
@@ -15,6 +16,7 @@ __all__ = [
     "format_ts",
     "initial",
     "initial_pandas",
+    "literal",
     "lookup",
     "micros",
     "render_details",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import UTC, datetime
 
 import pandas as pd
 from pyspark.sql import Column
@@ -14,6 +15,16 @@ def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def literal(value, kind: T.DataType) -> Column:
+    """Constant of type ``kind``, so that comparing it leaves the column uncast and pushable.
+
+    A datetime without a zone is taken as UTC, whatever the zone of the driver's machine.
+    """
+    if isinstance(value, datetime):
+        value = (value.astimezone(UTC).replace(tzinfo=None) if value.tzinfo else value).isoformat(sep=" ")
+    return F.lit(value).cast(kind)
+
+
 def micros(ts: Column | str) -> Column:
     """Microseconds since the epoch, for TIMESTAMP and (read as UTC) TIMESTAMP_NTZ columns."""
     return F.unix_micros(_col(ts).cast("timestamp"))

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickstone.operators.windows import has_panes, pane, pane_starts, pane_window
+from tickstone.functions import literal
+from tickstone.operators.windows import has_panes, pane, pane_starts, pane_window, watermarked
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "count", ordered: bool = True) -> DataFrame:
@@ -20,9 +21,10 @@ def count_by(df: DataFrame, keys: Sequence[str], name: str = "count", ordered: b
 
 def minute_counts(df: DataFrame, ts: str, key: str, anchor=None, days: int = 1) -> DataFrame:
     """Rows per minute and key over the last ``days`` before ``anchor`` (default: the newest row)."""
-    end = F.lit(anchor) if anchor is not None else df.agg(F.max(ts)).scalar()
+    end = literal(anchor, df.schema[ts].dataType) if anchor is not None else df.agg(F.max(ts)).scalar()
     recent = df.where(F.col(ts) > end - F.make_dt_interval(F.lit(days)))
-    return recent.groupBy(F.date_trunc("minute", ts).alias("bucket"), key).agg(F.count(F.lit(1)).alias("cnt"))
+    bucket = F.date_trunc("minute", ts).cast(df.schema[ts].dataType).alias("bucket")
+    return recent.groupBy(bucket, key).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def merge_counts(old: DataFrame, new: DataFrame, keys: Sequence[str], value: str = "cnt") -> DataFrame:
@@ -87,3 +89,24 @@ def distinct_per_window(
         windowed = windowed.dropDuplicates(["window", key, column])
         counted = F.count(column)
     return windowed.groupBy("window", key).agg(counted.alias(name))
+
+
+# Fixed value: distinct pages from which a user counts as suspicious.
+SUSPICIOUS_PAGES = 5
+
+
+def suspicious_users(
+    df: DataFrame,
+    ts: str = "event_timestamp",
+    key: str = "user_id",
+    page: str = "page_url",
+    size: str = "30 seconds",
+    slide: str | None = "10 seconds",
+    min_pages: int = SUSPICIOUS_PAGES,
+    approx: bool = False,
+    watermark: str | None = "30 seconds",
+) -> DataFrame:
+    """Users that open at least ``min_pages`` distinct pages within a window."""
+    df = watermarked(df, ts, watermark)
+    counted = distinct_per_window(df, ts, key, page, size, slide, approx, "distinct_page_count")
+    return counted.where(F.col("distinct_page_count") >= min_pages)

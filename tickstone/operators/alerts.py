@@ -15,8 +15,8 @@ from tickstone.operators.joins import with_threshold
 from tickstone.operators.report import direction
 from tickstone.operators.sequence import DAY, cooldown, ewma, previous_value
 
-# Weight of the old average, and the message texts.
-BASELINE_KEEP = 0.7
+# Weights of the old average and the new value, and the message texts.
+BASELINE_KEEP, BASELINE_GAIN = 0.7, 0.3
 SURGE_TEXT = "%s 가격 급등: $%.2f → $%.2f (%.2f%%)"
 DROP_TEXT = "%s 가격 급락: $%.2f → $%.2f (%.2f%%)"
 VOLUME_TEXT = "%s 거래량 급증: %.0f → %.0f (%.2f%%)"
@@ -49,7 +49,10 @@ def baselines(
 
     ``history`` seeds them: one row per key with ``prev_price`` and ``prev_volume``.
     """
-    columns = {"prev_price": ("price", BASELINE_KEEP), "prev_volume": ("volume", BASELINE_KEEP)}
+    columns = {
+        "prev_price": ("price", BASELINE_KEEP, BASELINE_GAIN),
+        "prev_volume": ("volume", BASELINE_KEEP, BASELINE_GAIN),
+    }
     return ewma(ticks, key, ts, [tie], columns, "before", history, segment)
 
 

@@ -7,22 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickstone.functions import literal
+
 
 def in_range(df: DataFrame, column: str, lo=None, hi=None) -> DataFrame:
     """Inclusive range; each bound is optional."""
+    kind = df.schema[column].dataType
     if lo is not None:
-        df = df.where(F.col(column) >= F.lit(lo))
+        df = df.where(F.col(column) >= literal(lo, kind))
     if hi is not None:
-        df = df.where(F.col(column) <= F.lit(hi))
+        df = df.where(F.col(column) <= literal(hi, kind))
     return df
 
 
 def in_days(df: DataFrame, column: str, first=None, last=None) -> DataFrame:
     """Whole days: ``[first, last + 1 day)`` on a timestamp, so the last day keeps its intraday rows."""
+    kind = df.schema[column].dataType
     if first is not None:
-        df = df.where(F.col(column) >= F.lit(first).cast("date"))
+        df = df.where(F.col(column) >= F.lit(first).cast("date").cast(kind))
     if last is not None:
-        df = df.where(F.col(column) < F.date_add(F.lit(last).cast("date"), 1))
+        df = df.where(F.col(column) < F.date_add(F.lit(last).cast("date"), 1).cast(kind))
     return df
 
 
@@ -35,8 +39,7 @@ def in_keys(df: DataFrame, column: str, keys: Sequence | str) -> DataFrame:
 
 def key_range(df: DataFrame, column: str, key, ts: str, lo, hi) -> DataFrame:
     """Rows of one key between two times, newest first."""
-    picked = df.where((F.col(column) == F.lit(key)) & F.col(ts).between(F.lit(lo), F.lit(hi)))
-    return picked.orderBy(F.desc(ts))
+    return in_range(df.where(F.col(column) == F.lit(key)), ts, lo, hi).orderBy(F.desc(ts))
 
 
 # Days per look-back period; any other period means one week.
@@ -46,7 +49,7 @@ LOOK_BACK_DAYS = {"1D": 1, "1W": 7, "1M": 30, "3M": 90}
 def look_back(df: DataFrame, ts: str, period: str, anchor=None) -> DataFrame:
     """Rows of the last ``period`` before ``anchor`` (default: the newest row), bounds included."""
     days = LOOK_BACK_DAYS.get(period, LOOK_BACK_DAYS["1W"])
-    end = F.lit(anchor) if anchor is not None else df.agg(F.max(ts)).scalar()
+    end = literal(anchor, df.schema[ts].dataType) if anchor is not None else df.agg(F.max(ts)).scalar()
     return df.where(F.col(ts) >= end - F.make_dt_interval(F.lit(days)))
 
 

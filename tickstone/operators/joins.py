@@ -1,5 +1,5 @@
-"""Joins.  None carries a broadcast hint: Spark broadcasts a side when its measured size allows and
-otherwise shuffles, with adaptive skew handling."""
+"""Joins.  A side is broadcast only after its size was checked; beyond that the join shuffles, and
+adaptive execution splits skewed keys."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickstone.operators.sequence import DAY, carry_forward
+from tickstone.operators.sizing import broadcast_if_small
 
 
 def asof_join(
@@ -38,7 +39,7 @@ def with_threshold(
     df: DataFrame, thresholds: DataFrame, key: str, default: float, name: str = "threshold"
 ) -> DataFrame:
     """Add the key's own threshold, or the default."""
-    joined = df.join(thresholds.select(key, F.col(name).alias("_own")), key, "left")
+    joined = df.join(broadcast_if_small(thresholds.select(key, F.col(name).alias("_own"))), key, "left")
     return joined.withColumn(name, F.coalesce("_own", F.lit(default))).drop("_own")
 
 
@@ -88,6 +89,6 @@ def mention_join(
     # Keywords shorter than a gram need sequences of their own length.
     grams = [F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for t in lowered for n in range(1, GRAM + 1)]
     sequences = posts.select(key, F.explode(F.array_distinct(F.flatten(F.array(*grams)))).alias("_gram"))
-    candidates = sequences.join(indexed, "_gram").select(key, keyword).distinct()
+    candidates = sequences.join(broadcast_if_small(indexed), "_gram").select(key, keyword).distinct()
     hit = F.exists(F.array(*lowered), lambda text: F.contains(text, lower_word))
     return posts.join(candidates, key).where(hit)

@@ -249,14 +249,14 @@ def ewma(
     key: str,
     ts: str,
     tie: Sequence[str],
-    columns: Mapping[str, tuple[str, float]],
+    columns: Mapping[str, tuple[str, float, float]],
     when: str = "after",
     seeds: DataFrame | None = None,
     segment: int | None = DAY,
 ) -> DataFrame:
-    """Add running weighted averages ``new = keep * old + (1 - keep) * value`` per key.
+    """Add running weighted averages ``new = keep * old + gain * value`` per key.
 
-    ``columns`` maps an output name to (value column, ``keep``).  The first row of a key only sets
+    ``columns`` maps an output name to (value column, ``keep``, ``gain``).  The first row of a key only sets
     the average: to its own value, or to the column of the same output name in ``seeds`` (one row
     per key).  ``when="before"`` gives the average a row is compared with (NULL on the first row),
     ``"after"`` the one that includes it.  ``segment=None`` folds a key in one go; use it only
@@ -266,7 +266,7 @@ def ewma(
         raise ValueError("when must be 'before' or 'after'")
     outputs = list(columns)
     sources = [f"_x{i}" for i in range(len(outputs))]
-    keeps = [float(columns[o][1]) for o in outputs]
+    weights = [(float(columns[o][1]), float(columns[o][2])) for o in outputs]
     states = [f"_state{i}" for i in range(len(outputs))]
     group_by = [key, "_seg"]
     before = when == "before"
@@ -291,9 +291,9 @@ def ewma(
             group = _group_numbers(starts, table.num_rows)
             from_end = np.cumsum(sizes)[group] - 1 - np.arange(table.num_rows)
             out = table.select(group_by).take(starts).append_column("_n", pa.array(sizes))
-            for i, keep in enumerate(keeps):
+            for i, (keep, factor) in enumerate(weights):
                 x = _numpy(table, sources[i])
-                share = (1 - keep) * x * np.power(keep, from_end)
+                share = factor * x * np.power(keep, from_end)
                 gain = np.bincount(group, weights=share)
                 out = out.append_column(f"_gain{i}", pa.array(gain))
                 out = out.append_column(f"_rest{i}", pa.array(gain - share[starts]))
@@ -309,13 +309,13 @@ def ewma(
                 n = r["_n"]
                 if r[key] != current:
                     current, state = r[key], []
-                    for i, keep in enumerate(keeps):
+                    for i, (keep, _) in enumerate(weights):
                         seed = r.get(states[i])
                         opening = r[f"_first{i}"] if seed is None else seed
                         state.append(keep ** (n - 1) * opening + r[f"_rest{i}"])
                     continue
                 taken.append(at)
-                for i, keep in enumerate(keeps):
+                for i, (keep, _) in enumerate(weights):
                     carried[i].append(state[i])
                     state[i] = keep**n * state[i] + r[f"_gain{i}"]
             picked = pa.Table.from_batches([batch]).select(group_by).take(pa.array(taken, pa.int64()))
@@ -352,8 +352,8 @@ def ewma(
                 if lo == hi:
                     continue
                 reached = []
-                for i, keep in enumerate(keeps):
-                    x, out, gain = xs[i][lo:hi].tolist(), results[i], 1 - keep
+                for i, (keep, gain) in enumerate(weights):
+                    x, out = xs[i][lo:hi].tolist(), results[i]
                     if opening:
                         b = x[0] if state is None else state[i]
                         out.append(None if before else b)

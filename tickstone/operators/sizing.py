@@ -1,0 +1,18 @@
+"""Broadcasts behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a few short columns: some tens of MB at most.
+SMALL_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``rows`` rows; otherwise leave it to a shuffle join.
+
+    Without the mark an aggregated small side is only known to be small once the large side has been
+    shuffled.  The check stops after ``rows + 1`` rows.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

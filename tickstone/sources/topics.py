@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickstone import schemas
+from tickstone.functions import literal
 from tickstone.operators.parse import parse_topic
 
 
@@ -66,12 +67,22 @@ def read_topic(
         reader = reader.schema(schemas.ENVELOPE).format(spec.format).options(**spec.options)
         if streaming and max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
-        frame = reader.load(spec.path).where(F.col("topic") == spec.topic)
+        frame = reader.load(spec.path)
+    frame = select_topic(frame, spec.topic, start, end)
+    return parse_topic(frame, schema) if schema else frame
+
+
+def select_topic(
+    frame: DataFrame, topic: str, start: datetime | None = None, end: datetime | None = None
+) -> DataFrame:
+    """Envelope rows of one topic with a record time in ``[start, end)``."""
+    frame = frame.where(F.col("topic") == topic)
+    kind = frame.schema["timestamp"].dataType
     if start is not None:
-        frame = frame.where(F.col("timestamp") >= F.lit(_as_utc(start)))
+        frame = frame.where(F.col("timestamp") >= literal(start, kind))
     if end is not None:
-        frame = frame.where(F.col("timestamp") < F.lit(_as_utc(end)))
-    return parse_topic(frame, schema) if schema else frame
+        frame = frame.where(F.col("timestamp") < literal(end, kind))
+    return frame
 
 
 def stream_files(
