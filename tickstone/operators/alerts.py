@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tickstone.functions import signed_change
 from tickstone.operators.joins import with_threshold
+from tickstone.operators.lineage import settled
 from tickstone.operators.report import direction
 from tickstone.operators.sequence import DAY, cooldown, ewma, previous_value
 
@@ -85,7 +86,8 @@ def market_events(
     surge = F.col("price_change") >= cfg.surge
     drop = F.col("price_change") <= cfg.drop
     volume = F.col("volume_change") >= cfg.volume
-    hits = measured.where(surge | drop | volume)
+    # The few ticks that meet a rule are read several times below, so they are computed once.
+    hits = settled(measured.where(surge | drop | volume))
 
     def kept(candidates: DataFrame, kind: str) -> DataFrame:
         thinned = cooldown(candidates.select(*rows), key, ts, tie, cfg.cooldown, False, segment)

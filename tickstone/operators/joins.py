@@ -3,14 +3,21 @@ adaptive execution splits skewed keys."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickstone.operators.sequence import DAY, carry_forward
 from tickstone.operators.sizing import broadcast_if_small
 
+try:
+    import ahocorasick
+except ImportError:  # then many keywords always go through the equi-join
+    ahocorasick = None
+
 
 def asof_join(
     left: DataFrame,
@@ -54,9 +61,28 @@ def drop_failed(df: DataFrame, payments: DataFrame, key: str, failed: str = "sta
     return df.join(payments.where(failed).select(key).distinct(), key, "left_anti")
 
 
-# Up to this many keywords are tried on every post directly.
+# Up to this many keywords are tried on every post one by one, up to the second number in one pass.
 DIRECT_KEYWORDS = 64
-GRAM = 4
+AUTOMATON_KEYWORDS = 200_000
+GRAM = 8
+
+
+def _automaton_matcher(words: Sequence[str]):
+    """UDF that lists the keywords found in a text, in one pass over the text."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def match(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        finder = ahocorasick.Automaton()
+        for lowered, spellings in by_lower.items():
+            finder.add_word(lowered, spellings)
+        finder.make_automaton()
+        for texts in parts:
+            yield pd.Series([sorted({w for _, ws in finder.iter(t) for w in ws}) for t in texts])
+
+    by_lower: dict[str, list[str]] = {}
+    for word in words:
+        by_lower.setdefault(word.lower(), []).append(word)
+    return match
 
 
 def mention_join(
@@ -66,13 +92,15 @@ def mention_join(
     keyword: str = "ticker",
     texts: Sequence[str] = ("title", "content"),
     direct: int = DIRECT_KEYWORDS,
+    automaton: int = AUTOMATON_KEYWORDS,
 ) -> DataFrame:
     """Every (post, keyword) pair where the keyword occurs in one of the texts, ignoring case.
 
-    A few keywords (their number is checked) become a literal list that each post is tested
-    against: no shuffle.  More keywords are found through their first characters: the distinct
-    character sequences of each post meet the keywords in an equi-join, and only the pairs that
-    share one are tested in full.  ``key`` must identify a post.
+    The number of keywords is checked and decides how they are found.  Up to ``direct``, each post
+    is tested against a literal list.  Up to ``automaton``, one Arrow-batched pass per post finds
+    all of them at once.  Neither shuffles.  More keywords are found through their first
+    characters: the distinct character sequences of each post meet the keywords in an equi-join,
+    and the pairs that share one are tested in full.  ``key`` must identify a post.
     """
     words = keywords.select(F.col(keyword).cast("string").alias(keyword)).where(F.length(keyword) > 0).distinct()
     few = [r[0] for r in words.limit(direct + 1).collect()]
@@ -84,10 +112,20 @@ def mention_join(
         )
         return posts.withColumn(keyword, F.explode(found))
 
+    if ahocorasick is not None and automaton:
+        listed = [r[0] for r in words.limit(automaton + 1).collect()]
+        if len(listed) <= automaton:
+            # A separator that no keyword holds keeps a match inside one text.
+            whole = F.concat_ws("\u0000", *lowered)
+            return posts.withColumn(keyword, F.explode(_automaton_matcher(listed)(whole)))
+
     lower_word = F.lower(keyword)
     indexed = words.select(keyword, F.substring(lower_word, 1, GRAM).alias("_gram"))
-    # Keywords shorter than a gram need sequences of their own length.
-    grams = [F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for t in lowered for n in range(1, GRAM + 1)]
+    # Sequences of at most GRAM lengths: those the keywords' beginnings have.
+    lengths = [r[0] for r in indexed.select(F.length("_gram")).distinct().collect()]
+    grams = [
+        F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for t in lowered for n in sorted(lengths)
+    ]
     sequences = posts.select(key, F.explode(F.array_distinct(F.flatten(F.array(*grams)))).alias("_gram"))
     candidates = sequences.join(broadcast_if_small(indexed), "_gram").select(key, keyword).distinct()
     hit = F.exists(F.array(*lowered), lambda text: F.contains(text, lower_word))

@@ -227,7 +227,8 @@ def cooldown(
     def by_segment(frame: DataFrame) -> DataFrame:
         return frame.repartition(key, "_seg").sortWithinPartitions(key, "_seg", "_us")
 
-    entries = by_segment(stamps.select(key, "_seg", "_us")).mapInArrow(
+    # ``stamps`` goes in whole, so that both steps share the exchange of its aggregate.
+    entries = by_segment(stamps).mapInArrow(
         exits, f"{_fields(stamps, group_by)}, _entry bigint, _exit bigint"
     )
     carried = (

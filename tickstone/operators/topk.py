@@ -6,7 +6,9 @@ exchange (WindowGroupLimit), so even a very large key sends only a few rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -65,8 +67,16 @@ def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def recent_baseline(
-    df: DataFrame, key: str, ts: str, columns: dict[str, str], n: int = 20, tie: str | None = None
+    df: DataFrame,
+    key: str,
+    ts: str,
+    columns: Mapping[str, str | Column],
+    n: int = 20,
+    tie: str | None = None,
 ) -> DataFrame:
-    """Averages of the newest ``n`` rows per key; ``columns`` maps output to input names."""
+    """Averages of the newest ``n`` rows per key; ``columns`` maps output names to inputs.
+
+    An input given as an expression is evaluated for the remaining rows only.
+    """
     newest = last_n(df, key, ts, n, tie)
     return newest.groupBy(key).agg(*[F.avg(c).alias(o) for o, c in columns.items()])

@@ -17,9 +17,14 @@ def text_date(column: str = "date") -> Column:
     return F.col(column).cast("string").alias(column)
 
 
+def cents_of(column: str) -> Column:
+    """Whole cents of a price with two decimals, still DOUBLE."""
+    return F.rint(F.col(column) * 100)
+
+
 def daily_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as price ticks of a supplier.  Prices are whole cents, so sums are exact."""
-    cents = F.round(F.col("l_extendedprice") * 100)
+    cents = cents_of("l_extendedprice")
     line = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("decimal(16,0)")
     items = table(spark, sf_dir, "lineitem")
     return items.select(
@@ -54,7 +59,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("ts").alias("event_time"),
         F.col("event_type").alias("device_id"),
-        F.round(F.col("value") * 100).alias("value"),
+        cents_of("value").alias("value"),
         "event_id",
     )
 
@@ -93,7 +98,7 @@ EVENT_RECORD = (
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as order documents with a nested product list."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    cents = cents_of("l_extendedprice").cast("bigint")
     quantity = F.col("l_quantity").cast("bigint")
     products = F.transform(
         F.sequence(F.lit(1), F.col("l_linenumber")),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tickstone.functions import format_ts, initial, initial_pandas, render_details, safe_double, safe_long
 from tickstone.operators import filters, parse, report
-from tickstone.plans.inputs import EVENT_RECORD, envelope, payload_number, table
+from tickstone.plans.inputs import EVENT_RECORD, cents_of, envelope, payload_number, table
 from tickstone.plans.registry import query
 from tickstone.sources import read_table, select_topic
 
@@ -210,7 +210,7 @@ def details(spark, sf_dir):
         F.struct(
             F.col("event_type").alias("type"),
             F.col("user_id").alias("ticker"),
-            F.round(F.col("value") * 100).cast("bigint").alias("price"),
+            cents_of("value").cast("bigint").alias("price"),
             payload_number().alias("change"),
             stamp.alias("timestamp"),
         )

@@ -2,22 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-SETTING = "spark.checkpoint.dir"
+from tickstone.operators.lineage import shared_folder
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session may go without the setting; it gets a temporary folder.
-    """
-    shared = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-        shared = tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/tickstone-{label}-{uuid.uuid4().hex}"
+    """A new folder name below the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/tickstone-{label}-{uuid.uuid4().hex}"

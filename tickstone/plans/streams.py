@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickstone.operators import aggregates, alerts, parse, topk, windows
-from tickstone.plans.inputs import CLICKS_SQL, EVENT_RECORD, envelope, payload_number, table
+from tickstone.plans.inputs import CLICKS_SQL, EVENT_RECORD, cents_of, envelope, payload_number, table
 from tickstone.plans.registry import REGISTRY, query
 from tickstone.plans.rules import EVENTS
 from tickstone.plans.scratch import work_dir
@@ -29,7 +29,7 @@ def _readings(spark, sf_dir) -> DataFrame:
     return _events(spark, sf_dir).select(
         F.col("ts").alias("event_time"),
         F.col("event_type").alias("device_id"),
-        F.round(F.col("value") * 100).alias("value"),
+        cents_of("value").alias("value"),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tickstone.operators import aggregates, alerts, joins, partitioning, topk
 from tickstone.plans.inputs import (
     POSTS_SQL,
+    cents_of,
     keywords,
     order_documents,
     payload_number,
@@ -71,8 +72,8 @@ def mentions(spark, sf_dir):
     """,
 )
 def mentions_indexed(spark, sf_dir):
-    """The same pairs by the way taken for many keywords."""
-    found = joins.mention_join(posts(spark, sf_dir), keywords(spark, sf_dir), "doc_id", direct=0)
+    """The same pairs by the way taken for very many keywords."""
+    found = joins.mention_join(posts(spark, sf_dir), keywords(spark, sf_dir), "doc_id", direct=0, automaton=0)
     return found.select("doc_id", "ticker")
 
 
@@ -127,12 +128,8 @@ def drop_failed_orders(spark, sf_dir):
     """,
 )
 def recent_baseline(spark, sf_dir):
-    ticks = table(spark, sf_dir, "events").select(
-        "user_id", "ts", "event_id", F.round(F.col("value") * 100).alias("price"), payload_number().alias("volume")
-    )
-    return topk.recent_baseline(
-        ticks, "user_id", "ts", {"avg_price": "price", "avg_volume": "volume"}, tie="event_id"
-    )
+    averages = {"avg_price": cents_of("value"), "avg_volume": payload_number()}
+    return topk.recent_baseline(table(spark, sf_dir, "events"), "user_id", "ts", averages, tie="event_id")
 
 
 @query("count_by_status", "SELECT event_type AS status, count(*) AS count FROM events GROUP BY 1")
