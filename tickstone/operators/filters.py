@@ -12,21 +12,19 @@ from tickstone.functions import literal
 
 def in_range(df: DataFrame, column: str, lo=None, hi=None) -> DataFrame:
     """Inclusive range; each bound is optional."""
-    kind = df.schema[column].dataType
-    if lo is not None:
-        df = df.where(F.col(column) >= literal(lo, kind))
-    if hi is not None:
-        df = df.where(F.col(column) <= literal(hi, kind))
+    for bound, keeps in ((lo, F.col(column).__ge__), (hi, F.col(column).__le__)):
+        if bound is not None:
+            df = df.where(keeps(literal(bound, df.schema[column].dataType)))
     return df
 
 
 def in_days(df: DataFrame, column: str, first=None, last=None) -> DataFrame:
     """Whole days: ``[first, last + 1 day)`` on a timestamp, so the last day keeps its intraday rows."""
-    kind = df.schema[column].dataType
     if first is not None:
-        df = df.where(F.col(column) >= F.lit(first).cast("date").cast(kind))
+        df = df.where(F.col(column) >= F.lit(first).cast("date").cast(df.schema[column].dataType))
     if last is not None:
-        df = df.where(F.col(column) < F.date_add(F.lit(last).cast("date"), 1).cast(kind))
+        after = F.date_add(F.lit(last).cast("date"), 1).cast(df.schema[column].dataType)
+        df = df.where(F.col(column) < after)
     return df
 
 

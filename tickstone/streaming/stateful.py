@@ -85,7 +85,8 @@ def market_events_stream(
             base = BASELINE_KEEP * base + BASELINE_GAIN * price
             base_volume = BASELINE_KEEP * base_volume + BASELINE_GAIN * volume
         state.update((float(base), float(base_volume), *[None if v is None else int(v) for v in last]))
-        yield pd.DataFrame(out, columns=[key, ts, tie, "event_type", "current", "previous", "change_pct"])
+        if out:
+            yield pd.DataFrame(out, columns=[key, ts, tie, "event_type", "current", "previous", "change_pct"])
 
     return rows.groupBy(key).applyInPandasWithState(
         step,
@@ -116,7 +117,9 @@ def price_alerts_stream(
             before.iloc[0] = state.get[0]
         state.update((float(pdf["close"].iloc[-1]),))
         pdf["previous"] = before
-        yield pdf[before.notna()][[key, ts, tie, "close", "previous", "_sent"]]
+        compared = pdf[before.notna()]
+        if len(compared):
+            yield compared[[key, ts, tie, "close", "previous", "_sent"]]
 
     paired = rows.groupBy(key).applyInPandasWithState(
         step,
@@ -168,7 +171,8 @@ def dedup_alerts_stream(
         state.update((last,))
         if watermark:
             state.setTimeoutTimestamp(max((last + wait) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pdf[keep][columns]
+        if any(keep):
+            yield pdf[keep][columns]
 
     return rows.groupBy("_alert").applyInPandasWithState(
         step,
