@@ -22,9 +22,13 @@ def data():
     return sorted(out)
 
 
-@pytest.fixture(scope="module")
-def frame(spark, data):
-    return spark.createDataFrame(data, "k string, ts timestamp_ntz, id bigint, v double").repartition(5)
+@pytest.fixture(scope="module", params=[10_000, 7])
+def frame(request, spark, data):
+    """With the second batch size nearly every group is spread over several Arrow batches."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(setting, request.param)
+    yield spark.createDataFrame(data, "k string, ts timestamp_ntz, id bigint, v double").repartition(5)
+    spark.conf.unset(setting)
 
 
 @pytest.mark.parametrize("segment", [200, 3600, 86_400])

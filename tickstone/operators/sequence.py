@@ -8,8 +8,9 @@ segments, and the work has three steps:
    gives the state at the start of every segment;
 3. each (key, segment) is processed on its own, starting from that state.
 
-A segment is one day by default; choose a shorter one for denser data.  The summaries make the
-results equal to those of one long pass over the key.
+A segment is one day by default; a shorter one gives smaller tasks where data is denser.  The
+summaries make the results equal to those of one long pass over the key.  The Arrow-batched steps
+stream through their sorted partition and hold one batch and a small state, never a whole group.
 """
 
 from __future__ import annotations
@@ -93,6 +94,10 @@ def _starts(batch: pa.RecordBatch | pa.Table, by: Sequence[str]) -> np.ndarray:
     return np.flatnonzero(fresh)
 
 
+def _name(batch: pa.RecordBatch, by: Sequence[str], at: int) -> tuple:
+    return tuple(batch.column(c)[at].as_py() for c in by)
+
+
 def _group_numbers(starts: np.ndarray, size: int) -> np.ndarray:
     return np.repeat(np.arange(len(starts)), np.diff(np.append(starts, size)))
 
@@ -104,8 +109,7 @@ def _whole_groups(batches: Iterable[pa.RecordBatch], by: Sequence[str]) -> Itera
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        ends = [tuple(batch.column(c)[at].as_py() for c in by) for at in (0, batch.num_rows - 1)]
-        if held and ends[0] != tail:
+        if held and _name(batch, by, 0) != tail:
             yield pa.Table.from_batches(held).combine_chunks()
             held = []
         cut = int(_starts(batch, by)[-1])
@@ -113,7 +117,7 @@ def _whole_groups(batches: Iterable[pa.RecordBatch], by: Sequence[str]) -> Itera
             yield pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks()
             held = []
         held.append(batch.slice(cut))
-        tail = ends[1]
+        tail = _name(batch, by, batch.num_rows - 1)
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
 
@@ -172,20 +176,63 @@ def cooldown(
     # Step 1: where a chain of kept rows that enters a segment at ``_entry`` leaves it.  A chain
     # can only enter in the first ``wait`` of the segment or at the first row after that.
     def exits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, group_by):
-            starts = _starts(table, group_by)
-            us = _numpy(table, "_us")
+        def closed(part: pa.RecordBatch) -> pa.Table:
+            """Entries and exits of groups that lie in this batch entirely."""
+            starts = _starts(part, group_by)
+            us = _numpy(part, "_us")
             nxt = _next_allowed(starts, us, _group_numbers(starts, len(us)), wait)
             hop = np.where(nxt < len(us), nxt, np.arange(len(us)))
             while not np.array_equal(further := hop[hop], hop):  # doubles the hops followed
                 hop = further
-            late = us >= _numpy(table, "_seg") * width + wait
+            late = us >= _numpy(part, "_seg") * width + wait
             after_late = np.append(False, late[:-1])
             after_late[starts] = False
             at = np.flatnonzero(~(late & after_late))
-            entries = table.select(group_by).take(at)
-            entries = entries.append_column("_entry", pa.array(us[at]))
-            yield from entries.append_column("_exit", pa.array(us[hop[at]])).to_batches()
+            return table_of(part.select(group_by).take(pa.array(at)), us[at], us[hop[at]])
+
+        def table_of(groups: pa.RecordBatch, entry: np.ndarray, leave: np.ndarray) -> pa.Table:
+            table = pa.Table.from_batches([groups]).append_column("_entry", pa.array(entry))
+            return table.append_column("_exit", pa.array(leave))
+
+        # The last group of a batch stays open: its entries, and how far each of their chains got.
+        head, name = None, None
+        entry = reached = np.array([], dtype=np.int64)
+
+        def extend(us: np.ndarray, seg: int) -> tuple[np.ndarray, np.ndarray]:
+            limit = seg * width + wait
+            new = int(np.searchsorted(us, limit))
+            if new < len(us) and not (len(entry) and entry[-1] >= limit):
+                new += 1
+            entries, at = np.append(entry, us[:new]), np.append(reached, us[:new])
+            while len(due := np.flatnonzero(at + wait <= us[-1])):
+                at[due] = us[np.searchsorted(us, at[due] + wait)]
+            return entries, at
+
+        def flush() -> pa.Table:
+            groups = pa.RecordBatch.from_arrays(
+                [pa.repeat(head.column(c)[0], len(entry)) for c in group_by], names=group_by
+            )
+            return table_of(groups, entry, reached)
+
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            starts = [*_starts(batch, group_by).tolist(), batch.num_rows]
+            first = 0
+            if name == _name(batch, group_by, 0):
+                entry, reached = extend(_numpy(batch, "_us")[: starts[1]], name[1])
+                first = 1
+                if len(starts) == 2:
+                    continue
+            if name is not None:
+                yield from flush().to_batches()
+            if starts[first] < starts[-2]:
+                yield from closed(batch.slice(starts[first], starts[-2] - starts[first])).to_batches()
+            head, name = batch.slice(starts[-2], 1), _name(batch, group_by, starts[-2])
+            entry = reached = np.array([], dtype=np.int64)
+            entry, reached = extend(_numpy(batch, "_us")[starts[-2] :], name[1])
+        if name is not None:
+            yield from flush().to_batches()
 
     # Step 2: follow the one real chain from segment to segment.
     def carries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,12 +242,13 @@ def cooldown(
             bounds = np.append(starts, table.num_rows)
             entry, leave = _numpy(table, "_entry"), _numpy(table, "_exit")
             keys = table.column(key).take(starts).to_pylist()
+            opens = _numpy(table, "_seg")[starts] * width
             taken, carried = [], []
             for i, k in enumerate(keys):
                 if k != current:
                     current, kept = k, None
                 lo, hi = bounds[i], bounds[i + 1]
-                if kept is not None:
+                if kept is not None and kept + wait > opens[i]:  # else it no longer matters here
                     taken.append(starts[i])
                     carried.append(kept)
                     lo += np.searchsorted(entry[lo:hi], kept + wait)
@@ -211,18 +259,31 @@ def cooldown(
 
     # Step 3: mark the kept rows of each segment; a carried row, if there is one, sorts first.
     def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, group_by):
-            starts = _starts(table, group_by)
-            us = _numpy(table, "_us")
+        name, kept = None, 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            starts = _starts(batch, group_by)
+            us = _numpy(batch, "_us")
             nxt = _next_allowed(starts, us, _group_numbers(starts, len(us)), wait)
             keep = np.zeros(len(us), dtype=bool)
-            at = starts
+            at = starts.copy()
+            if name == _name(batch, group_by, 0):  # goes on with the last group of the batch before
+                end = starts[1] if len(starts) > 1 else len(us)
+                at[0] = np.searchsorted(us[:end], kept + wait)
+                if at[0] == end:
+                    at = at[1:]
             while len(at):
                 keep[at] = True
                 at = nxt[at]
                 at = at[at < len(us)]
-            keep &= _numpy(table, "_row") == 1
-            yield from table.select([key, ts, tie]).filter(pa.array(keep)).to_batches()
+            tail = np.flatnonzero(keep[starts[-1] :])
+            last = _name(batch, group_by, batch.num_rows - 1)
+            if len(tail):
+                kept = int(us[starts[-1] + tail[-1]])
+            name = last
+            keep &= _numpy(batch, "_row") == 1
+            yield batch.select([key, ts, tie]).filter(pa.array(keep))
 
     def by_segment(frame: DataFrame) -> DataFrame:
         return frame.repartition(key, "_seg").sortWithinPartitions(key, "_seg", "_us")
@@ -286,20 +347,41 @@ def ewma(
     # Step 1: a segment turns an incoming average b into keep**n * b + gain.  ``_rest`` is the
     # gain without the segment's first row, for the segment that opens a key.
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, group_by):
-            starts = _starts(table, group_by)
-            sizes = np.diff(np.append(starts, table.num_rows))
-            group = _group_numbers(starts, table.num_rows)
-            from_end = np.cumsum(sizes)[group] - 1 - np.arange(table.num_rows)
-            out = table.select(group_by).take(starts).append_column("_n", pa.array(sizes))
+        held, name = None, None  # the summary of the last group of a batch, which may go on
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            starts = _starts(batch, group_by)
+            sizes = np.diff(np.append(starts, batch.num_rows))
+            group = _group_numbers(starts, batch.num_rows)
+            from_end = np.cumsum(sizes)[group] - 1 - np.arange(batch.num_rows)
+            columns = {"_n": sizes.astype(np.int64)}
+            goes_on = name == _name(batch, group_by, 0)
+            before = {c: _numpy(held, c)[0] for c in held.schema.names[2:]} if goes_on else {}
             for i, (keep, factor) in enumerate(weights):
-                x = _numpy(table, sources[i])
+                x = _numpy(batch, sources[i])
                 share = factor * x * np.power(keep, from_end)
                 gain = np.bincount(group, weights=share)
-                out = out.append_column(f"_gain{i}", pa.array(gain))
-                out = out.append_column(f"_rest{i}", pa.array(gain - share[starts]))
-                out = out.append_column(f"_first{i}", pa.array(x[starts]))
-            yield from out.to_batches()
+                rest, opening = gain - share[starts], x[starts]
+                if goes_on:
+                    decay = keep ** int(sizes[0])
+                    rest[0] = decay * before[f"_rest{i}"] + gain[0]
+                    gain[0] = decay * before[f"_gain{i}"] + gain[0]
+                    opening[0] = before[f"_first{i}"]
+                columns.update({f"_gain{i}": gain, f"_rest{i}": rest, f"_first{i}": opening})
+            if goes_on:
+                columns["_n"][0] += before["_n"]
+            elif held is not None:
+                yield held
+            groups = batch.select(group_by).take(pa.array(starts))
+            out = pa.RecordBatch.from_arrays(
+                [*groups.columns, *[pa.array(c) for c in columns.values()]], names=[*group_by, *columns]
+            )
+            if len(starts) > 1:
+                yield out.slice(0, len(starts) - 1)
+            held, name = out.slice(len(starts) - 1), _name(batch, group_by, batch.num_rows - 1)
+        if held is not None:
+            yield held
 
     # Step 2: chain the segments of a key.
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -48,7 +48,14 @@ def table_range(spark, sf_dir):
     return picked.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
-@query("topic_encode")
+@query(
+    "topic_encode",
+    """
+    SELECT CAST(user_id AS VARCHAR) AS key, '{"event_id":' || event_id || ',"event_type":"' || event_type
+           || '","value":' || value || '}' AS value
+    FROM events
+    """,
+)
 def topic_encode(spark, sf_dir):
     return parse.to_topic(table(spark, sf_dir, "events"), "user_id", ["event_id", "event_type", "value"])
 
@@ -88,9 +95,12 @@ def event_time_date(spark, sf_dir):
     )
 
 
-@query("processing_time")
+@query("processing_time", "SELECT event_id, ts, true AS stamped_later FROM events")
 def processing_time(spark, sf_dir):
-    return parse.with_processing_time(table(spark, sf_dir, "events").select("event_id", "ts"))
+    """The time itself is that of the run, so only its order is compared."""
+    stamped = parse.with_processing_time(table(spark, sf_dir, "events").select("event_id", "ts"))
+    later = F.col("processing_time") > F.col("ts").cast("timestamp")
+    return stamped.select("event_id", "ts", later.alias("stamped_later"))
 
 
 def _small_records(spark, sf_dir):
