@@ -176,7 +176,7 @@ def cooldown(
     # Step 1: where a chain of kept rows that enters a segment at ``_entry`` leaves it.  A chain
     # can only enter in the first ``wait`` of the segment or at the first row after that.
     def exits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def closed(part: pa.RecordBatch) -> pa.Table:
+        def closed(part: pa.RecordBatch) -> pa.RecordBatch:
             """Entries and exits of groups that lie in this batch entirely."""
             starts = _starts(part, group_by)
             us = _numpy(part, "_us")
@@ -188,11 +188,13 @@ def cooldown(
             after_late = np.append(False, late[:-1])
             after_late[starts] = False
             at = np.flatnonzero(~(late & after_late))
-            return table_of(part.select(group_by).take(pa.array(at)), us[at], us[hop[at]])
+            return rows_of(part.select(group_by).take(pa.array(at)).columns, us[at], us[hop[at]])
 
-        def table_of(groups: pa.RecordBatch, entry: np.ndarray, leave: np.ndarray) -> pa.Table:
-            table = pa.Table.from_batches([groups]).append_column("_entry", pa.array(entry))
-            return table.append_column("_exit", pa.array(leave))
+        def rows_of(groups: list[pa.Array], entry: np.ndarray, leave: np.ndarray) -> pa.RecordBatch:
+            # Built from arrays, so that the schema does not depend on the nullability of the input.
+            return pa.RecordBatch.from_arrays(
+                [*groups, pa.array(entry), pa.array(leave)], names=[*group_by, "_entry", "_exit"]
+            )
 
         # The last group of a batch stays open: its entries, and how far each of their chains got.
         head, name = None, None
@@ -208,11 +210,8 @@ def cooldown(
                 at[due] = us[np.searchsorted(us, at[due] + wait)]
             return entries, at
 
-        def flush() -> pa.Table:
-            groups = pa.RecordBatch.from_arrays(
-                [pa.repeat(head.column(c)[0], len(entry)) for c in group_by], names=group_by
-            )
-            return table_of(groups, entry, reached)
+        def flush() -> pa.RecordBatch:
+            return rows_of([pa.repeat(head.column(c)[0], len(entry)) for c in group_by], entry, reached)
 
         for batch in batches:
             if batch.num_rows == 0:
@@ -225,14 +224,14 @@ def cooldown(
                 if len(starts) == 2:
                     continue
             if name is not None:
-                yield from flush().to_batches()
+                yield flush()
             if starts[first] < starts[-2]:
-                yield from closed(batch.slice(starts[first], starts[-2] - starts[first])).to_batches()
+                yield closed(batch.slice(starts[first], starts[-2] - starts[first]))
             head, name = batch.slice(starts[-2], 1), _name(batch, group_by, starts[-2])
             entry = reached = np.array([], dtype=np.int64)
             entry, reached = extend(_numpy(batch, "_us")[starts[-2] :], name[1])
         if name is not None:
-            yield from flush().to_batches()
+            yield flush()
 
     # Step 2: follow the one real chain from segment to segment.
     def carries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
