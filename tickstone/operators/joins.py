@@ -37,7 +37,7 @@ def asof_join(
     prices = right.select(key, ts, F.lit(0).alias("_side"), tied.cast("bigint").alias("_tie"), value)
     events = left.withColumns({"_side": F.lit(1), "_tie": F.lit(0).cast("bigint")})
     merged = events.unionByName(prices, allowMissingColumns=True)
-    filled = carry_forward(merged, key, ts, ["_side", "_tie"], value, "_asof", True, segment)
+    filled = carry_forward(merged, key, ts, ["_side", "_tie"], value, "_asof", True, segment, ["_tie"])
     hits = filled.where((F.col("_side") == 1) & F.col("_asof").isNotNull())
     return hits.drop("_side", "_tie", value).withColumnRenamed("_asof", value)
 

@@ -35,6 +35,20 @@ def segment_of(ts: str, seconds: int = DAY) -> Column:
 # --- last known value -------------------------------------------------------------------------
 
 
+def _position(df: DataFrame, ts: str, tie: Sequence[str]) -> Column:
+    """Order of rows by (ts, tie) as one value.
+
+    One integer tie is packed with the time into a DECIMAL, which Spark can aggregate by hashing;
+    with a struct it would have to sort all rows first.
+    """
+    if len(tie) == 1 and df.schema[tie[0]].dataType.typeName() in ("byte", "short", "integer", "long"):
+        # The shift by 2**63 makes every BIGINT non-negative, with at most 20 digits.
+        shifted = F.col(tie[0]).cast("decimal(19,0)") + F.lit(str(2**63)).cast("decimal(19,0)")
+        scaled = micros(ts).cast("decimal(17,0)") * F.lit("1" + "0" * 20).cast("decimal(21,0)")
+        return scaled.cast("decimal(38,0)") + shifted
+    return F.struct(ts, *tie) if tie else F.col(ts)
+
+
 def carry_forward(
     df: DataFrame,
     key: str,
@@ -44,13 +58,15 @@ def carry_forward(
     name: str,
     include_current: bool,
     segment: int = DAY,
+    ends_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add the last non-NULL ``value`` of the key before (or up to and including) each row."""
+    """Add the last non-NULL ``value`` of the key before (or up to and including) each row.
+
+    ``ends_by`` names the ties that order rows with a value, where fewer than ``tie`` suffice.
+    """
     rows = df.withColumn("_seg", segment_of(ts, segment))
-    order = [F.col(ts), *[F.col(t) for t in tie]]
-    position = order[0] if len(order) == 1 else F.struct(*order)
-    # NULL rows get a NULL position, which max_by ignores.
-    known = F.when(F.col(value).isNotNull(), position)
+    # Rows without a value get a NULL position, which max_by ignores.
+    known = F.when(F.col(value).isNotNull(), _position(df, ts, ends_by if ends_by is not None else tie))
     ends = rows.groupBy(key, "_seg").agg(F.max_by(value, known).alias("_end"))
     earlier = W.partitionBy(key).orderBy("_seg").rowsBetween(W.unboundedPreceding, -1)
     carries = (
@@ -61,7 +77,7 @@ def carry_forward(
     both = rows.withColumn("_row", F.lit(1)).unionByName(carries, allowMissingColumns=True)
     frame = (
         W.partitionBy(key, "_seg")
-        .orderBy("_row", *order)
+        .orderBy("_row", ts, *tie)
         .rowsBetween(W.unboundedPreceding, 0 if include_current else -1)
     )
     return (
