@@ -11,7 +11,7 @@ from tickstone import schemas, sinks
 from tickstone.operators import market
 from tickstone.plans import jobs
 from tickstone.sources import TopicSpec, or_fallback, read_table, read_topic
-from tickstone.streaming import await_any
+from tickstone.streaming import await_any, read_table_sink, start
 
 BASE = datetime(2024, 1, 1, 12)
 
@@ -167,8 +167,8 @@ def test_device_job(spark, tmp_path):
     ]
     root = f"{tmp_path}/root"
     finish(jobs.device_job(stream(spark, tmp_path, records), root, ("parquet", {"path": f"{root}/alerts"})))
-    assert rows(spark.table("status_counts")) == [("Normal", 61)]
-    assert spark.table("anomalies_table").where("is_anomaly").count() == 3
+    assert rows(read_table_sink(spark, f"{root}/status_counts", "status_counts")) == [("Normal", 61)]
+    assert spark.read.parquet(f"{root}/anomalies").where("is_anomaly").count() == 3
     alerts = spark.read.parquet(f"{root}/alerts")
     assert alerts.count() == 3 and json.loads(alerts.first().value)["anomaly_type"] == "HIGH_VALUE"
     assert spark.read.parquet(f"{root}/readings").count() == 61
@@ -181,8 +181,9 @@ def test_click_job(spark, tmp_path):
     ] + [{"user_id": "u", "page_url": "/p1", "click_time": BASE.isoformat() + "Z"}]
     root = f"{tmp_path}/root"
     finish(jobs.click_job(stream(spark, tmp_path, records), root))
-    assert spark.table("top_pages").count() == 5 and spark.table("top_users").count() == 3
-    found = sinks.read_committed(spark, root, "suspicious")
+    assert read_table_sink(spark, f"{root}/top_pages", "top_pages").count() == 5
+    assert read_table_sink(spark, f"{root}/top_users", "top_users").count() == 3
+    found = sinks.read_committed(spark, f"{root}/found", "suspicious")
     assert {json.loads(r.value)["user_id"] for r in found.collect()} == {"bot"}
     assert "window_start" in json.loads(found.first().value)
 
@@ -229,6 +230,15 @@ def test_transform_and_triggers(spark, tmp_path):
     assert callable(await_any)
 
 
+def test_memory_and_console_sinks(spark, tmp_path, capfd):
+    source = stream(spark, tmp_path, [{"id": "1"}, {"id": "2"}])
+    counts = source.groupBy("topic").count()
+    finish([start(counts, "memory", "complete", name="counts_table"), start(counts, "console", "update", every="1 second")])
+    assert rows(spark.table("counts_table")) == [("t", 2)]
+    with pytest.raises(ValueError):
+        read_table_sink(spark, f"{tmp_path}/none", "x")
+
+
 def test_default_path_is_dated():
     from datetime import date
 

@@ -46,12 +46,14 @@ def daily_sentiment(df: DataFrame, ts: str = "timestamp", score: str = "sentimen
 def order_rollup(orders: DataFrame, key: str = "order_id") -> DataFrame:
     """Item count and amount per order.
 
-    Each document is reduced on its own first; documents that carry parts of one order are then
-    added up, so no order is ever gathered into one row.
+    Documents that carry parts of one order are added up.  The lines are exploded and summed in the
+    same stage; of the nested products only price and quantity are read.
     """
-    total = F.aggregate("products", F.lit(0).cast("bigint"), lambda acc, p: acc + p["price"] * p["quantity"])
-    parts = orders.select(key, F.size("products").cast("bigint").alias("items"), total.alias("amount"))
-    return parts.groupBy(key).agg(F.sum("items").alias("items"), F.sum("amount").alias("amount"))
+    lines = orders.select(key, F.posexplode_outer("products").alias("position", "product"))
+    amount = F.col("product.price") * F.col("product.quantity")
+    return lines.groupBy(key).agg(
+        F.count("position").alias("items"), F.coalesce(F.sum(amount), F.lit(0)).alias("amount")
+    )
 
 
 def order_lines(orders: DataFrame, key: str = "order_id") -> DataFrame:

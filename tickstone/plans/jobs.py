@@ -16,7 +16,7 @@ from tickstone import schemas
 from tickstone.operators import aggregates, alerts, filters, market, parse, report, sentiment, topk, windows
 from tickstone.sinks import save, write_jdbc, write_replay_safe, write_topic
 from tickstone.sources import TopicSpec, read_table, read_topic
-from tickstone.streaming import dedup_alerts_stream, foreach_batch, market_events_stream, start
+from tickstone.streaming import dedup_alerts_stream, foreach_batch, market_events_stream, start, table_sink
 
 
 def load_ticks(
@@ -96,7 +96,9 @@ def device_readings(records: DataFrame) -> DataFrame:
 def device_job(records: DataFrame, root: str, alert_topic: tuple[str, dict]) -> list[StreamingQuery]:
     """Status counts, window statistics and anomaly alerts of one stream of device records.
 
-    ``root`` holds the checkpoints and file outputs; ``alert_topic`` is (format, options).
+    ``root`` holds the checkpoints and outputs; ``alert_topic`` is (format, options).  The counts
+    are tables replaced as a whole; windows are appended once they are final, so that their state
+    stays bounded.
     """
     readings = device_readings(records)
     keys = ["device_id"]
@@ -109,10 +111,10 @@ def device_job(records: DataFrame, root: str, alert_topic: tuple[str, dict]) ->
     raised = parse.with_processing_time(windows.anomaly_alerts(anomalies), "alert_time")
     fmt, options = alert_topic
     return [
-        start(aggregates.count_by(readings, ["status"]), "memory", "complete", name="status_counts"),
-        start(aggregates.count_by(readings, ["device_id", "status"]), "memory", "complete", name="device_status"),
-        start(windows.hourly(readings, "event_time", "status", "1 minute"), "memory", "complete", name="hourly"),
-        start(anomalies, "memory", "complete", name="anomalies_table"),
+        _to_table(aggregates.count_by(readings, ["status"]), root, "status_counts"),
+        _to_table(aggregates.count_by(readings, ["device_id", "status"]), root, "device_status"),
+        _to_files(windows.hourly(readings, "event_time", "status", "1 minute"), root, "hourly"),
+        _to_files(anomalies, root, "anomalies"),
         _to_files(readings, root, "readings"),
         _to_files(averages, root, "averages"),
         _to_files(tumbling, root, "tumbling"),
@@ -126,21 +128,26 @@ def _to_files(df: DataFrame, root: str, name: str) -> StreamingQuery:
     return start(df, "parquet", "append", f"{root}/checkpoint/{name}", name, options)
 
 
+def _to_table(df: DataFrame, root: str, name: str) -> StreamingQuery:
+    """Complete results as a table, read with ``read_table_sink(spark, f"{root}/{name}", name)``."""
+    return start(df, table_sink(f"{root}/{name}", name), "complete", f"{root}/checkpoint/{name}", name)
+
+
 def click_job(records: DataFrame, root: str) -> list[StreamingQuery]:
     """Top pages, top users and suspicious users of a click stream.
 
-    Suspicious users go, micro-batch by micro-batch, to ``root``/suspicious.
+    Suspicious users go, micro-batch by micro-batch, to ``root``/found.
     """
     parsed = parse.parse_topic(records, schemas.CLICK, keep=())
     clicks = parse.with_event_time(parsed, "click_time", "event_timestamp")
     found = aggregates.suspicious_users(clicks, approx=True)
 
     def emit(batch: DataFrame, batch_id: int) -> None:
-        write_replay_safe({"suspicious": parse.to_topic(batch, "user_id")}, root, batch_id)
+        write_replay_safe({"suspicious": parse.to_topic(batch, "user_id")}, f"{root}/found", batch_id)
 
     return [
-        start(topk.top_global(clicks, "event_timestamp", "page_url", 5), "memory", "complete", name="top_pages"),
-        start(topk.top_global(clicks, "event_timestamp", "user_id", 3), "memory", "complete", name="top_users"),
+        _to_table(topk.top_global(clicks, "event_timestamp", "page_url", 5), root, "top_pages"),
+        _to_table(topk.top_global(clicks, "event_timestamp", "user_id", 3), root, "top_users"),
         start(found, foreach_batch(emit), "update", f"{root}/checkpoint/suspicious", "suspicious"),
     ]
 

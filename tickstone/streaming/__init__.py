@@ -1,4 +1,4 @@
-from tickstone.streaming.run import await_any, foreach_batch, start
+from tickstone.streaming.run import await_any, foreach_batch, read_table_sink, start, table_sink
 from tickstone.streaming.stateful import dedup_alerts_stream, market_events_stream, price_alerts_stream
 
 __all__ = [
@@ -7,5 +7,7 @@ __all__ = [
     "foreach_batch",
     "market_events_stream",
     "price_alerts_stream",
+    "read_table_sink",
     "start",
+    "table_sink",
 ]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tickstone.operators.parse import flatten_window
+from tickstone.sinks.replay import latest_version, read_version, write_replay_safe
 
 MODES = ("append", "update", "complete")
 
@@ -60,6 +61,26 @@ def foreach_batch(write: Callable[[DataFrame, int], None]) -> Callable[[DataFram
     return sink
 
 
+def table_sink(root: str, name: str) -> Callable[[DataFrame, int], None]:
+    """Sink for complete mode: a queryable table on shared storage.
+
+    Every micro-batch writes the whole result as a new committed version; :func:`read_table_sink`
+    reads the newest.  Unlike the ``memory`` format nothing passes through the driver.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        write_replay_safe({name: batch}, root, batch_id)
+
+    return sink
+
+
+def read_table_sink(spark: SparkSession, root: str, name: str) -> DataFrame:
+    version = latest_version(spark, root)
+    if version is None:
+        raise ValueError(f"no version of {name} has been committed yet")
+    return read_version(spark, root, name, version)
+
+
 def await_any(spark: SparkSession) -> None:
     """Wait until one of the running queries stops or fails."""
     spark.streams.awaitAnyTermination()
