@@ -97,24 +97,19 @@ EVENT_RECORD = (
 
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as order documents with a nested product list."""
+    """Line items as order documents, the product listed as often as the line number says."""
     cents = cents_of("l_extendedprice").cast("bigint")
     quantity = F.col("l_quantity").cast("bigint")
-    lines = table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("O"), "l_orderkey").alias("order_id"),
-        "l_linenumber",
-        F.concat(F.lit("P"), "l_partkey", F.lit("-")).alias("part"),
+    product = F.struct(
+        F.concat(F.lit("P"), "l_partkey").alias("product_id"),
         cents.alias("price"),
         quantity.alias("quantity"),
         (cents * quantity).alias("amount"),
     )
-    products = F.transform(
-        F.sequence(F.lit(1), F.col("l_linenumber")),
-        lambda i: F.struct(
-            F.concat("part", i).alias("product_id"), F.col("price"), F.col("quantity"), F.col("amount")
-        ),
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("O"), "l_orderkey").alias("order_id"),
+        F.array_repeat(product, F.col("l_linenumber")).alias("products"),
     )
-    return lines.select("order_id", products.alias("products"))
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:

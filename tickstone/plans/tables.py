@@ -225,7 +225,7 @@ def order_rollup(spark, sf_dir):
 @query(
     "order_lines",
     """
-    SELECT 'O' || l_orderkey AS order_id, CAST(i AS BIGINT) AS line, 'P' || l_partkey || '-' || i AS product_id,
+    SELECT 'O' || l_orderkey AS order_id, CAST(i AS BIGINT) AS line, 'P' || l_partkey AS product_id,
            CAST(round(l_extendedprice * 100) AS BIGINT) AS price, CAST(l_quantity AS BIGINT) AS quantity,
            CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(l_quantity AS BIGINT) AS amount
     FROM (SELECT *, unnest(range(1, CAST(l_linenumber AS BIGINT) + 1)) AS i FROM lineitem)
