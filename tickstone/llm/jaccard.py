@@ -15,9 +15,14 @@ more empty blocks keeps all of them.
 From the rows of shared blocks, links are found without listing all pairs of a group:
 
 1. In each block's group every set is compared with the group's best connected set.
-2. The links found make components.  Only groups that still hold several components go on: sets of different
-   components are paired if they share enough blocks of the band (``spare + 1`` less the empty ones left out), and
-   those not compared before are compared.
+2. The links found make components.  Groups that still hold several components probe: in a random order, each set is
+   compared with the next ``PROBES`` of other components.
+3. In groups that hold several components after that, sets of different components are joined.
+
+In steps 2 and 3 a second sketch of ``BITS`` parity bits is carried along.  Pairs whose bits differ in more places than
+similar sets of their sizes can differ in shingles are dropped inside the window or join, before they become rows; what
+is left is almost only links.  Pairs of step 3 must also share enough blocks of the band (``spare + 1`` less the
+empty ones left out).
 
 Comparison is exact on the shingles' 64-bit numbers.  Documents with equal sets are one node throughout.
 A text that is NULL, empty or has no words has an empty set and links with nothing.  A document whose id is NULL takes
@@ -30,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickstone.llm.common import text_batches, written
@@ -38,6 +43,8 @@ from tickstone.llm.graph import components
 from tickstone.llm.shingles import mixed, set_number, shingles
 
 GROWTH = 1.5  # of band sizes
+PROBES = 3
+BITS = 512  # of the second sketch
 FILTER_BITS = 1 << 22  # of the fixed-size filter of sets that must be compared
 
 
@@ -68,51 +75,63 @@ def _keys(values: np.ndarray, band: int, blocks: int, spare: int) -> tuple[np.nd
     return mixed(xors ^ mixed(numbers, 1000 + band), 3), spare + 1 - empty
 
 
-def sketches(docs: DataFrame, id_column: str, text: str, k: int, percent: int) -> DataFrame:
-    """(doc_id, th, sid, n_shingles, keys, shares): ``th`` is xxhash64 of the text, ``sid`` numbers the set, ``keys`` are its blocks by band."""
-    bands = _bands(percent)
-    tops = [top for top, _, _ in bands]
+_BIT_COLUMNS = [f"w{i}" for i in range(BITS // 64)]
+
+
+def _parity(values: np.ndarray) -> np.ndarray:
+    """The parity bits of a set, as signed 64-bit words."""
+    at = (mixed(values, 5) % np.uint64(BITS)).astype(np.int64)
+    odd = (np.bincount(at, minlength=BITS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
+def _slim(docs: DataFrame, id_column: str, text: str, k: int) -> DataFrame:
+    """(doc_id, th, sid, n_shingles, parity bits): ``th`` is xxhash64 of the text, ``sid`` numbers the set."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text"):
-            ids, sizes, keys, shares = [], [], [], []
-            for values in shingles(batch.column(1), k):
-                values = np.unique(values)
-                n = values.size
-                own, low = [], []
-                if n:
-                    band = int(np.searchsorted(tops, n))
-                    for b in (band, band + 1):
-                        # the smallest set of the next band, and the smallest that can be similar to it
-                        if b == band or 100 * n >= percent * (tops[band] + 1):
-                            found, share = _keys(values, b, *bands[b][1:])
-                            own.append(found)
-                            low.append(np.full(found.size, share, dtype=np.int16))
-                ids.append(set_number(values))
-                sizes.append(n)
-                keys.append(np.concatenate(own).view(np.int64) if own else np.empty(0, np.int64))
-                shares.append(np.concatenate(low) if low else np.empty(0, np.int16))
-            lists = lambda parts, kind: pa.ListArray.from_arrays(
-                pa.array(np.concatenate(([0], np.cumsum([len(p) for p in parts]))), pa.int32()),
-                pa.array(np.concatenate(parts) if parts else [], kind),
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(2),
-                    pa.array(ids, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    lists(keys, pa.int64()),
-                    lists(shares, pa.int16()),
-                ],
-                ["doc_id", "th", "sid", "n_shingles", "keys", "shares"],
-            )
+            sets = [np.unique(v) for v in shingles(batch.column(1), k)]
+            bits = np.stack([_parity(v) for v in sets]) if sets else np.empty((0, BITS // 64), np.int64)
+            columns = [
+                batch.column(0),
+                batch.column(2),
+                pa.array([set_number(v) for v in sets], pa.int64()),
+                pa.array([v.size for v in sets], pa.int64()),
+                *(pa.array(bits[:, i].copy()) for i in range(BITS // 64)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "th", "sid", "n_shingles", *_BIT_COLUMNS])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("th"))
-    kind = "doc_id long, th long, sid long, n_shingles long, keys array<long>, shares array<short>"
+    kind = "doc_id long, th long, sid long, n_shingles long, " + ", ".join(f"{w} long" for w in _BIT_COLUMNS)
     return rows.mapInArrow(sketch, kind)
 
 
+def _blocks(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
+    """(key, sid, share): the blocks each set puts forward, and how many of them a similar one must share."""
+    bands = _bands(percent)
+    tops = [top for top, _, _ in bands]
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches, "text"):
+            keys, sids, shares = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+            for values in shingles(batch.column(0), k):
+                values = np.unique(values)
+                if not values.size:
+                    continue
+                band, sid = int(np.searchsorted(tops, values.size)), set_number(values)
+                for b in (band, band + 1):
+                    # the smallest set of the next band, and the smallest that can be similar to it
+                    if b == band or 100 * values.size >= percent * (tops[band] + 1):
+                        found, share = _keys(values, b, *bands[b][1:])
+                        keys.append(found)
+                        sids.append(np.full(found.size, sid))
+                        shares.append(np.full(found.size, share, dtype=np.int32))
+            columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(sids)), pa.array(np.concatenate(shares))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "sid", "share"])
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(sketch, "key long, sid long, share int")
+
+
 def _sets(docs: DataFrame, id_column: str, text: str, k: int, wanted: DataFrame) -> DataFrame:
     """(sid, values) of the documents named by ``wanted`` (doc_id, sid), and of a few more.
 
@@ -143,56 +162,71 @@ def _sets(docs: DataFrame, id_column: str, text: str, k: int, wanted: DataFrame)
     return rows.where("sid <> 0")
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (a, b) of set numbers with ``linked``."""
+def _linked(pairs: DataFrame, docs: DataFrame, one: DataFrame, id_column: str, text: str, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of set numbers whose sets are similar; the texts of these sets are read once more."""
+    pairs = written(pairs, "pairs")
+    members = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+    sets = _sets(docs, id_column, text, k, one.join(members, "sid", "left_semi"))
     left = sets.select(F.col("sid").alias("a"), F.col("values").alias("x"))
     right = sets.select(F.col("sid").alias("b"), F.col("values").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("x", "y"))
-    return both.select("a", "b", (100 * shared >= percent * (F.size("x") + F.size("y") - shared)).alias("linked"))
+    similar = 100 * shared >= percent * (F.size("x") + F.size("y") - shared)
+    return written(both.where(similar).select("a", "b").distinct(), "linked")
 
 
-def _one_of_each(sketched: DataFrame) -> DataFrame:
-    """A document for each set: (sid, doc_id, n_shingles)."""
-    return sketched.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+def _near(a: str, b: str, percent: int) -> Column:
+    """Whether two sets can be similar by their sizes and parity bits."""
+    apart = sum((F.bit_count(F.col(a)[w].bitwiseXOR(F.col(b)[w])) for w in _BIT_COLUMNS), F.lit(0))
+    n, m = F.col(a)["n_shingles"], F.col(b)["n_shingles"]
+    alike = (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.col(a)["part"] != F.col(b)["part"])
+    return alike & ((100 + percent) * apart <= (100 - percent) * (n + m))
+
+
+def _held(live: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of the groups that the links leave in several components, with their component."""
+    group = Window.partitionBy("key")
+    known = components(links)
+    rows = live.join(known, live["sid"] == known["node"], "left")
+    rows = rows.select("key", "sid", "share", F.coalesce("component", "sid").alias("part"))
+    rows = rows.withColumn("low", F.min("part").over(group)).withColumn("high", F.max("part").over(group))
+    return written(rows.where("low <> high").select("key", "sid", "share", "part"), "held")
 
 
 def links(docs: DataFrame, id_column: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80):
-    """Two tables: the sketched documents, and (a, b) of linked set numbers that connect all linked sets."""
-    sketched = written(sketches(docs, id_column, text, k, percent), "sketches")
-    blocks = sketched.select("sid", F.explode(F.arrays_zip("keys", "shares")).alias("e"))
-    blocks = blocks.select("sid", F.col("e.keys").alias("key"), F.col("e.shares").alias("share"))
+    """Two tables: (doc_id, th, sid, n_shingles, ...) of the documents, and (a, b) of linked set numbers that connect all
+    linked sets."""
+    slim = written(_slim(docs, id_column, text, k), "sets")
+    filled = slim.where("n_shingles > 0")
+    one = filled.groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    bits = filled.groupBy("sid").agg(*[F.first(c).alias(c) for c in ("n_shingles", *_BIT_COLUMNS)])
+    compared = lambda pairs: _linked(pairs, docs, one, id_column, text, k, percent)
+    ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     # groups of several sets
     group = Window.partitionBy("key")
-    live = blocks.withColumn("low", F.min("sid").over(group)).withColumn("high", F.max("sid").over(group))
+    live = _blocks(docs, text, k, percent)
+    live = live.withColumn("low", F.min("sid").over(group)).withColumn("high", F.max("sid").over(group))
     live = written(live.where("low <> high").select("key", "sid", "share").distinct(), "blocks")
     # the best connected set of a group leads it
     sizes = live.groupBy("key").agg((F.count("*") - 1).alias("others"))
     ties = live.join(sizes, "key").groupBy("sid").agg(F.sum("others").alias("ties"))
     led = live.join(ties, "sid").withColumn("lead", F.max(F.struct("ties", "sid")).over(group)["sid"])
-    pairs = led.where("sid <> lead").select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b")).distinct()
-    pairs = written(pairs, "pairs")
-    # texts of the sets in groups, read once more
-    members = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-    one = _one_of_each(sketched).join(members, "sid", "left_semi")
-    wanted = one.join(sketched.select("sid", "doc_id"), ["sid", "doc_id"], "left_semi")
-    sets = _sets(docs, id_column, text, k, wanted)
-    sets = sets.groupBy("sid").agg(F.first("values").alias("values"))  # copies of a set are equal
-    sets = written(sets.join(members, "sid", "left_semi"), "sets")
-    first = written(_compared(pairs, sets, percent), "compared").where("linked").select("a", "b")
-    # groups that the links found leave in several components
-    known = written(components(first), "known")
-    held = live.join(known, live["sid"] == known["node"], "left")
-    held = held.select("key", "sid", "share", F.coalesce("component", "sid").alias("part"))
-    held = held.withColumn("low", F.min("part").over(group)).withColumn("high", F.max("part").over(group))
-    held = written(held.where("low <> high").select("key", "sid", "share", "part"), "held")
-    left = held.select("key", F.col("sid").alias("a"), F.col("share").alias("sa"), F.col("part").alias("pa"))
-    right = held.select("key", F.col("sid").alias("b"), F.col("share").alias("sb"), F.col("part").alias("pb"))
-    more = left.join(right, "key").where("a < b and pa <> pb").groupBy("a", "b")
-    more = more.agg(F.count("*").alias("n"), F.max(F.greatest("sa", "sb")).alias("least")).where("n >= least")
-    more = more.select("a", "b").join(pairs, ["a", "b"], "left_anti")
-    second = _compared(more, sets, percent).where("linked").select("a", "b")
-    return sketched, written(first.union(second), "links")
+    found = compared(led.where("sid <> lead").select(*ordered("sid", "lead")).distinct())
+    # probes
+    held = _held(live, found)
+    row = F.struct("sid", "part", "n_shingles", *_BIT_COLUMNS)
+    rows = held.join(bits, "sid").select("key", row.alias("x"))
+    order = Window.partitionBy("key").orderBy(F.xxhash64("key", "x.sid"))
+    nexts = F.array(*[F.lead("x", i).over(order) for i in range(1, PROBES + 1)])
+    probes = rows.select("x", nexts.alias("ys")).select("x", F.explode("ys").alias("y")).where(_near("x", "y", percent))
+    pairs = probes.select(*ordered("x.sid", "y.sid"))
+    found = written(found.union(compared(pairs.distinct())), "linked")
+    # what is left
+    held = _held(held.drop("part"), found)
+    rows = held.join(bits, "sid").select("key", F.struct("sid", "part", "share", "n_shingles", *_BIT_COLUMNS).alias("x"))
+    both = rows.join(rows.withColumnRenamed("x", "y"), "key").where(F.expr("x.sid < y.sid") & _near("x", "y", percent))
+    both = both.groupBy(*ordered("x.sid", "y.sid")).agg(F.count("*").alias("n"), F.max(F.greatest("x.share", "y.share")).alias("least"))
+    return slim, written(found.union(compared(both.where("n >= least").select("a", "b"))), "links")
 
 
 def clusters(docs: DataFrame, id_column: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -200,15 +234,15 @@ def clusters(docs: DataFrame, id_column: str = "doc_id", text: str = "text", k:
 
     ``component_id`` is the smallest id reachable by links; ``part`` numbers the component, NULL for an empty set.
     """
-    sketched, linked = links(docs, id_column, text, k, percent)
+    slim, linked = links(docs, id_column, text, k, percent)
     known = components(linked)
     # each set with its component, named by a set number, then by the smallest document of all its sets
-    sets = _one_of_each(sketched).join(known, F.col("sid") == F.col("node"), "left")
+    one = slim.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    sets = one.join(known, F.col("sid") == F.col("node"), "left")
     sets = sets.select("sid", "doc_id", F.coalesce("component", "sid").alias("part"))
     parts = sets.groupBy("part").agg(F.min("doc_id").alias("component_id"))
     named = sets.select("sid", "part").join(parts, "part")
-    slim = sketched.select("doc_id", "th", "n_shingles", F.expr("if(n_shingles > 0, sid, null)").alias("sid"))
-    out = slim.join(named, "sid", "left")
+    out = slim.select("doc_id", "th", "n_shingles", F.expr("if(n_shingles > 0, sid, null)").alias("sid")).join(named, "sid", "left")
     return out.select("doc_id", "th", "n_shingles", "part", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
