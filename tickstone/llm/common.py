@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,38 @@ def fold(id_column: str, folds: int) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % folds
 
 
+FILTER_BITS = 1 << 22
+
+
+def bitmap(rows: DataFrame, column: str) -> np.ndarray:
+    """Which of ``FILTER_BITS`` hash values the ids of ``rows`` have; only the map's words pass through the driver."""
+    words = rows.select(_bit(column).alias("bit")).groupBy(F.shiftright("bit", 5).alias("word"))
+    words = words.agg(F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 32, dtype=np.uint32)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
+    return out
+
+
+def _bit(column: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(FILTER_BITS))
+
+
+def may_match(docs: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """The rows of ``docs`` whose id may be in ``wanted``, by a bitmap of fixed size, without a shuffle of ``docs``.
+
+    A row that it keeps by chance finds no partner in the join that follows.
+    """
+    known, names = bitmap(wanted, column), docs.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+            hit = (known[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)
+            yield pa.RecordBatch.from_arrays(batch.filter(pa.array(hit.astype(bool))).columns[:-1], names)
+
+    return docs.withColumn("_bit", _bit(column)).mapInArrow(keep, docs.schema)
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
 

@@ -19,9 +19,9 @@ From the rows of shared blocks, links are found without listing all pairs of a g
    compared with the next ``PROBES`` of other components.
 3. In groups that hold several components after that, sets of different components are joined.
 
-In steps 2 and 3 a second sketch of ``BITS`` parity bits is carried along.  Pairs whose bits differ in more places than
-similar sets of their sizes can differ in shingles are dropped inside the window or join, before they become rows; what
-is left is almost only links.  Pairs of step 3 must also share enough blocks of the band (``spare + 1`` less the
+A second sketch of ``BITS`` parity bits goes with every set.  Pairs whose bits differ in more places than
+similar sets of their sizes can differ in shingles are dropped before sets are read, in steps 2 and 3 inside the window or
+join, before they become rows; what is left is almost only links.  Pairs of step 3 must also share enough blocks of the band (``spare + 1`` less the
 empty ones left out).
 
 Comparison is exact on the shingles' 64-bit numbers.  Documents with equal sets are one node throughout.
@@ -38,14 +38,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickstone.llm.common import text_batches, written
+from tickstone.llm.common import may_match, text_batches, written
 from tickstone.llm.graph import components
 from tickstone.llm.shingles import mixed, set_number, shingles
 
 GROWTH = 1.5  # of band sizes
 PROBES = 3
 BITS = 512  # of the second sketch
-FILTER_BITS = 1 << 22  # of the fixed-size filter of sets that must be compared
 
 
 def _bands(percent: int, largest: int = 1 << 40) -> list[tuple[int, int, int]]:
@@ -133,43 +132,31 @@ def _blocks(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, id_column: str, text: str, k: int, wanted: DataFrame) -> DataFrame:
-    """(sid, values) of the documents named by ``wanted`` (doc_id, sid), and of a few more.
-
-    Which rows' texts are read again is told by a bitmap of fixed size: a document it names by chance only adds a row
-    that no pair asks for.  The bitmap's words, not its documents, pass through the driver.
-    """
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    words = wanted.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).alias("word"))
-    words = words.agg(F.expr("bit_or(shiftleft(1L, cast(bit % 32 as int)))").alias("bits")).collect()
-    bitmap = np.zeros(FILTER_BITS // 32, dtype=np.uint32)
-    for r in words:
-        bitmap[r["word"]] = r["bits"]
+    """(sid, values) of the documents named by ``wanted`` (doc_id), and of a few more that no pair asks for."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(0).to_numpy(zero_copy_only=False)
-            keep = (bitmap[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)
-            batch = batch.filter(pa.array(keep.astype(bool)))
-            for part in text_batches(iter([batch]), "text"):
-                sets = [np.unique(v) for v in shingles(part.column(1), k)]
-                sids = pa.array([set_number(v) for v in sets], pa.int64())
-                offsets = pa.array(np.concatenate(([0], np.cumsum([v.size for v in sets]))), pa.int32())
-                values = pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64))
-                yield pa.RecordBatch.from_arrays([sids, pa.ListArray.from_arrays(offsets, values)], ["sid", "values"])
+        for batch in text_batches(batches, "text"):
+            sets = [np.unique(v) for v in shingles(batch.column(1), k)]
+            sids = pa.array([set_number(v) for v in sets], pa.int64())
+            offsets = pa.array(np.concatenate(([0], np.cumsum([v.size for v in sets]))), pa.int32())
+            values = pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([sids, pa.ListArray.from_arrays(offsets, values)], ["sid", "values"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.select(bit.alias("bit"), "text").mapInArrow(read, "sid long, values array<long>")
-    return rows.where("sid <> 0")
+    return may_match(rows, wanted, "doc_id").mapInArrow(read, "sid long, values array<long>").where("sid <> 0")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, one: DataFrame, id_column: str, text: str, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of set numbers whose sets are similar; the texts of these sets are read once more."""
+    """The pairs (a, b) of set numbers whose sets are similar; the texts of these sets are read once more.
+
+    Sets are as large as texts and are merged at every size: broadcasting either side would not hold at another.
+    """
     pairs = written(pairs, "pairs")
     members = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
     sets = _sets(docs, id_column, text, k, one.join(members, "sid", "left_semi"))
     left = sets.select(F.col("sid").alias("a"), F.col("values").alias("x"))
     right = sets.select(F.col("sid").alias("b"), F.col("values").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     shared = F.size(F.array_intersect("x", "y"))
     similar = 100 * shared >= percent * (F.size("x") + F.size("y") - shared)
     return written(both.where(similar).select("a", "b").distinct(), "linked")
@@ -179,7 +166,7 @@ def _near(a: str, b: str, percent: int) -> Column:
     """Whether two sets can be similar by their sizes and parity bits."""
     apart = sum((F.bit_count(F.col(a)[w].bitwiseXOR(F.col(b)[w])) for w in _BIT_COLUMNS), F.lit(0))
     n, m = F.col(a)["n_shingles"], F.col(b)["n_shingles"]
-    alike = (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.col(a)["part"] != F.col(b)["part"])
+    alike = 100 * F.least(n, m) >= percent * F.greatest(n, m)
     return alike & ((100 + percent) * apart <= (100 - percent) * (n + m))
 
 
@@ -211,20 +198,23 @@ def links(docs: DataFrame, id_column: str = "doc_id", text: str = "text", k: int
     sizes = live.groupBy("key").agg((F.count("*") - 1).alias("others"))
     ties = live.join(sizes, "key").groupBy("sid").agg(F.sum("others").alias("ties"))
     led = live.join(ties, "sid").withColumn("lead", F.max(F.struct("ties", "sid")).over(group)["sid"])
-    found = compared(led.where("sid <> lead").select(*ordered("sid", "lead")).distinct())
+    pairs = led.where("sid <> lead").select(*ordered("sid", "lead")).distinct()
+    known = bits.select("sid", F.struct("n_shingles", *_BIT_COLUMNS).alias("x"))
+    pairs = pairs.join(known.select(F.col("sid").alias("a"), "x"), "a").join(known.select(F.col("sid").alias("b"), F.col("x").alias("y")), "b")
+    found = compared(pairs.where(_near("x", "y", percent)).select("a", "b"))
     # probes
     held = _held(live, found)
     row = F.struct("sid", "part", "n_shingles", *_BIT_COLUMNS)
     rows = held.join(bits, "sid").select("key", row.alias("x"))
     order = Window.partitionBy("key").orderBy(F.xxhash64("key", "x.sid"))
     nexts = F.array(*[F.lead("x", i).over(order) for i in range(1, PROBES + 1)])
-    probes = rows.select("x", nexts.alias("ys")).select("x", F.explode("ys").alias("y")).where(_near("x", "y", percent))
+    probes = rows.select("x", nexts.alias("ys")).select("x", F.explode("ys").alias("y")).where(_near("x", "y", percent) & F.expr("x.part <> y.part"))
     pairs = probes.select(*ordered("x.sid", "y.sid"))
     found = written(found.union(compared(pairs.distinct())), "linked")
     # what is left
     held = _held(held.drop("part"), found)
     rows = held.join(bits, "sid").select("key", F.struct("sid", "part", "share", "n_shingles", *_BIT_COLUMNS).alias("x"))
-    both = rows.join(rows.withColumnRenamed("x", "y"), "key").where(F.expr("x.sid < y.sid") & _near("x", "y", percent))
+    both = rows.join(rows.withColumnRenamed("x", "y"), "key").where(F.expr("x.sid < y.sid and x.part <> y.part") & _near("x", "y", percent))
     both = both.groupBy(*ordered("x.sid", "y.sid")).agg(F.count("*").alias("n"), F.max(F.greatest("x.share", "y.share")).alias("least"))
     return slim, written(found.union(compared(both.where("n >= least").select("a", "b"))), "links")
 

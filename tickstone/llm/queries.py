@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickstone.llm import chat, containment, jaccard, language, lines, mixing, pii, tokens, topk, toxicity
-from tickstone.llm.common import fold, n_words, table
+from tickstone.llm.common import fold, may_match, n_words, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -69,10 +69,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of the labelled documents outside fold 1 of 3; a document's smallest label counts."""
-    labels = labels.where("toxic is not null").groupBy("doc_id").agg(F.min("toxic").alias("toxic"))
-    labels = labels.where(fold("doc_id", 3) != 1)
-    return docs.select("doc_id", "text").join(labels, "doc_id")
+    """(doc_id, text, toxic) of the labelled documents outside fold 1 of 3; a document's smallest label counts.
+
+    Labels grow with the corpus, so they are never broadcast.  A bitmap of fixed size tells which documents may have
+    one, and only these documents' texts are shuffled, once.
+    """
+    labels = labels.where("toxic is not null").where(fold("doc_id", 3) != 1)
+    docs = may_match(docs.select("doc_id", "text").where(fold("doc_id", 3) != 1), labels, "doc_id")
+    labels = labels.groupBy("doc_id").agg(F.min("toxic").alias("toxic"))
+    return written(docs.join(labels.hint("merge"), "doc_id"), "labelled")
 
 
 @query("op4_toxicity")

@@ -168,6 +168,8 @@ def _counts(train: DataFrame) -> DataFrame:
 
 def _moment_rate(scores: list[tuple[float, float]]) -> float:
     """The positive root of sum p exp(rate s) = 1; 0 if no score is positive or their mean is not negative."""
+    whole = sum(p for p, _ in scores)
+    scores = [(p / whole, s) for p, s in scores]
     if not any(s > 0 and p > 0 for p, s in scores) or sum(p * s for p, s in scores) >= 0:
         return 0.0
     total = lambda r: sum(p * math.exp(min(r * s, 700.0)) for p, s in scores)
