@@ -30,8 +30,13 @@ def test_mentions_by_every_way(spark):
     )
     words = spark.createDataFrame([("AAPL",), ("TSLA",), ("BRK.B",), ("x",), ("",), ("Verylongname",)], "ticker string")
     want = sorted([(1, "AAPL"), (1, "TSLA"), (3, "BRK.B"), (3, "x"), (5, "TSLA")], key=repr)
-    for limits in ({}, {"direct": 0}, {"direct": 0, "automaton": 0}):
-        assert rows(joins.mention_join(posts, words, "id", **limits), "id", "ticker") == want
+    assert rows(joins.mention_join(posts, words, "id"), "id", "ticker") == want
+    long = words.where("length(ticker) > 3")
+    assert rows(joins.mention_join(posts, long, "id"), "id", "ticker") == [w for w in want if len(w[1]) > 3]
+    odd = spark.createDataFrame([(None, "aapl", ""), (7, "x", None), (7, "Tsla", "aapl")], "id int, title string, content string")
+    many = words.union(spark.range(3000).selectExpr("concat('word', id)"))
+    got = rows(joins.mention_join(odd, many.where("length(ticker) > 1"), "id"), "id", "ticker")
+    assert got == sorted([(None, "AAPL"), (7, "AAPL"), (7, "TSLA")], key=repr)
     assert joins.mention_join(posts, words.limit(0), "id").isEmpty()
 
 

@@ -47,10 +47,10 @@ def format_ts(column: Column | str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Col
 
 
 def render_details(column: Column | str, drop: Sequence[str] = ("type", "ticker", "timestamp")) -> Column:
-    """JSON object as ``k: v, k: v`` without the ``drop`` keys; other text is passed through."""
+    """JSON object as ``k: v, k: v`` without the ``drop`` keys; null reads ``None``; other text is passed through."""
     raw = _col(column)
     pairs = F.map_filter(F.from_json(raw, "map<string,string>"), lambda k, _: ~k.isin(*drop))
-    rendered = F.transform(F.map_entries(pairs), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    rendered = F.transform(F.map_entries(pairs), lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit("None"))))
     return F.coalesce(F.array_join(rendered, ", "), raw)
 
 

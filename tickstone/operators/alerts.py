@@ -70,8 +70,10 @@ def market_events(
 
     A tick is tried as a surge, then as a drop, then as a volume surge; a rule that is cooling down
     lets the next one try.  Surge and drop exclude each other, so each can be thinned out by itself,
-    and the volume rule afterwards on the ticks neither of them took.
+    and the volume rule afterwards on the ticks neither of them took.  Ticks without a price or a volume raise
+    nothing and leave the baselines as they are.
     """
+    ticks = ticks.where(F.col("price").isNotNull() & F.col("volume").isNotNull())
     compared = baselines(ticks, key, ts, tie, history, segment).where(F.col("prev_price").isNotNull())
     measured = compared.withColumns(
         {
@@ -196,8 +198,8 @@ def dedup_alerts(
     tie: str = "id",
     segment: int = DAY,
 ) -> DataFrame:
-    """Drop an alert if the same type and message was *sent* less than ``seconds`` before."""
-    keyed = alerts.withColumn("_alert", F.concat("type", F.lit(":"), "message"))
+    """Drop an alert if the same type and message (NULL counts as one) was *sent* less than ``seconds`` before."""
+    keyed = alerts.withColumn("_alert", F.to_json(F.struct("type", "message")))  # never NULL
     sent = cooldown(keyed, "_alert", ts, tie, seconds, True, segment)
     return keyed.join(sent, ["_alert", ts, tie], "left_semi").drop("_alert")
 

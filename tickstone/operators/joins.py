@@ -1,23 +1,13 @@
-"""Joins.  A side is broadcast only after its size was checked; beyond that the join shuffles, and
-adaptive execution splits skewed keys."""
+"""Joins.  None forces a broadcast: Spark decides by size, and adaptive execution splits skewed keys."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickstone.operators.sequence import DAY, carry_forward
-from tickstone.operators.sizing import broadcast_if_small
-
-try:
-    import ahocorasick
-except ImportError:  # then many keywords always go through the equi-join
-    ahocorasick = None
-
 
 def asof_join(
     left: DataFrame,
@@ -46,87 +36,44 @@ def with_threshold(
     df: DataFrame, thresholds: DataFrame, key: str, default: float, name: str = "threshold"
 ) -> DataFrame:
     """Add the key's own threshold, or the default."""
-    joined = df.join(broadcast_if_small(thresholds.select(key, F.col(name).alias("_own"))), key, "left")
+    joined = df.join(thresholds.select(key, F.col(name).alias("_own")), key, "left")
     return joined.withColumn(name, F.coalesce("_own", F.lit(default))).drop("_own")
 
 
 def committed_only(df: DataFrame, committed: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows of committed transactions only."""
     on = [key] if isinstance(key, str) else list(key)
-    return df.join(committed.select(*on).distinct(), on, "left_semi")
+    return df.join(committed.select(*on), on, "left_semi")
 
 
 def drop_failed(df: DataFrame, payments: DataFrame, key: str, failed: str = "status = 'failed'") -> DataFrame:
     """Rows whose key has no failed payment."""
-    return df.join(payments.where(failed).select(key).distinct(), key, "left_anti")
+    return df.join(payments.where(failed).select(key), key, "left_anti")
 
 
-# Up to this many keywords are tried on every post one by one, up to the second number in one pass.
-DIRECT_KEYWORDS = 64
-AUTOMATON_KEYWORDS = 200_000
 GRAM = 8
 
 
-def _automaton_matcher(words: Sequence[str]):
-    """UDF that lists the keywords found in a text, in one pass over the text."""
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def match(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        finder = ahocorasick.Automaton()
-        for lowered, spellings in by_lower.items():
-            finder.add_word(lowered, spellings)
-        finder.make_automaton()
-        for texts in parts:
-            yield pd.Series([sorted({w for _, ws in finder.iter(t) for w in ws}) for t in texts])
-
-    by_lower: dict[str, list[str]] = {}
-    for word in words:
-        by_lower.setdefault(word.lower(), []).append(word)
-    return match
-
-
 def mention_join(
     posts: DataFrame,
     keywords: DataFrame,
     key: str,
     keyword: str = "ticker",
     texts: Sequence[str] = ("title", "content"),
-    direct: int = DIRECT_KEYWORDS,
-    automaton: int = AUTOMATON_KEYWORDS,
 ) -> DataFrame:
     """Every (post, keyword) pair where the keyword occurs in one of the texts, ignoring case.
 
-    The number of keywords is checked and decides how they are found.  Up to ``direct``, each post
-    is tested against a literal list.  Up to ``automaton``, one Arrow-batched pass per post finds
-    all of them at once.  Neither shuffles.  More keywords are found through their first
-    characters: the distinct character sequences of each post meet the keywords in an equi-join,
-    and the pairs that share one are tested in full.  ``key`` must identify a post.
+    The distinct character sequences of each post meet the beginnings of the keywords in an equi-join, and the pairs
+    that share one are tested in full.  The shortest keyword decides how long a sequence is, up to ``GRAM``.
+    Posts with a NULL key are found too; posts of one key are each tested.
     """
     words = keywords.select(F.col(keyword).cast("string").alias(keyword)).where(F.length(keyword) > 0).distinct()
-    few = [r[0] for r in words.limit(direct + 1).collect()]
-    lowered = [F.lower(F.coalesce(F.col(t), F.lit(""))) for t in texts]
-    if len(few) <= direct:
-        found = F.filter(
-            F.array(*[F.lit(w) for w in few]).cast("array<string>"),
-            lambda w: F.exists(F.array(*lowered), lambda text: F.contains(text, F.lower(w))),
-        )
-        return posts.withColumn(keyword, F.explode(found))
-
-    if ahocorasick is not None and automaton:
-        listed = [r[0] for r in words.limit(automaton + 1).collect()]
-        if len(listed) <= automaton:
-            # A separator that no keyword holds keeps a match inside one text.
-            whole = F.concat_ws("\u0000", *lowered)
-            return posts.withColumn(keyword, F.explode(_automaton_matcher(listed)(whole)))
-
     lower_word = F.lower(keyword)
-    indexed = words.select(keyword, F.substring(lower_word, 1, GRAM).alias("_gram"))
-    # Sequences of at most GRAM lengths: those the keywords' beginnings have.
-    lengths = [r[0] for r in indexed.select(F.length("_gram")).distinct().collect()]
-    grams = [
-        F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for t in lowered for n in sorted(lengths)
-    ]
-    sequences = posts.select(key, F.explode(F.array_distinct(F.flatten(F.array(*grams)))).alias("_gram"))
-    candidates = sequences.join(broadcast_if_small(indexed), "_gram").select(key, keyword).distinct()
+    shortest = words.agg(F.least(F.min(F.length(lower_word)), F.lit(GRAM))).first()[0] or GRAM
+    lowered = [F.lower(F.coalesce(F.col(t), F.lit(""))) for t in texts]
+    grams = [F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{shortest}}}))"), F.lit(1)) for t in lowered]
+    sequences = posts.select(F.col(key).alias("_key"), F.explode(F.array_distinct(F.concat(*grams))).alias("_gram"))
+    indexed = words.select(keyword, F.substring(lower_word, 1, shortest).alias("_gram"))
+    candidates = sequences.join(indexed, "_gram").select("_key", keyword).distinct()
     hit = F.exists(F.array(*lowered), lambda text: F.contains(text, lower_word))
-    return posts.join(candidates, key).where(hit)
+    return posts.join(candidates, posts[key].eqNullSafe(candidates["_key"])).where(hit).drop("_key")

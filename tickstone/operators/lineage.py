@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    """A folder for a local session without the setting, removed when the process ends."""
+    path = tempfile.mkdtemp(prefix="tickstone-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -19,7 +30,7 @@ def shared_folder(spark: SparkSession) -> str:
         return shared
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-    return tempfile.gettempdir()
+    return _own_folder()
 
 
 def settled(df: DataFrame) -> DataFrame:

@@ -236,8 +236,8 @@ def summarize(analysed: DataFrame, cfg: MarketConfig = MarketConfig(), key: str
         "volume",
         F.col(f"ma_{cfg.short}").alias("ma_short"),
         F.col(f"ma_{cfg.long}").alias("ma_long"),
-        "ma_50",
-        "ma_200",
+        middle,
+        base,
         "rsi",
         "macd",
         "macd_signal",
@@ -247,7 +247,7 @@ def summarize(analysed: DataFrame, cfg: MarketConfig = MarketConfig(), key: str
         "sell_signal",
         "signal_strength",
         "change_pct",
-        ((F.try_divide(middle, base) - 1.0) * 100).alias("ma_50_200_diff_pct"),
+        ((F.try_divide(middle, base) - 1.0) * 100).alias("ma_{}_{}_diff_pct".format(*cfg.trend)),
         rsi_status(cfg).alias("rsi_status"),
         _stance("close", f"ma_{cfg.short}", f"ma_{cfg.long}").alias("ma_status"),
     )

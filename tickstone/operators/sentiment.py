@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickstone.operators.sizing import broadcast_if_small
 
 # The published normalisation constant, the score of an extreme text, the alert texts.
 ALPHA = 15.0
@@ -36,13 +35,12 @@ def sentiment(
 ) -> DataFrame:
     """(key, sentiment_score, sentiment_label) per text.
 
-    ``lexicon`` has ``token`` (lower case) and ``valence``.  Texts themselves are never shuffled: with
-    a lexicon small enough to broadcast, the words of a text are summed up in the task that reads
-    it, and one row per text remains.
+    ``lexicon`` has ``token`` (lower case) and ``valence``.  Texts themselves are never shuffled, only
+    their words where Spark does not broadcast the lexicon.
     """
     words = F.regexp_extract_all(F.lower(text if text is not None else full_text()), F.lit(WORD), F.lit(0))
     tokens = df.select(key, F.explode_outer(words).alias("token"))
-    valued = tokens.join(broadcast_if_small(lexicon.select("token", "valence")), "token", "left")
+    valued = tokens.join(lexicon.select("token", "valence"), "token", "left")
     total = F.coalesce(F.sum("valence"), F.lit(0)).cast("double")
     scored = valued.groupBy(key).agg((total / F.sqrt(total * total + F.lit(ALPHA))).alias("sentiment_score"))
     return scored.withColumn("sentiment_label", label("sentiment_score", positive, negative))

@@ -72,8 +72,8 @@ def mentions(spark, sf_dir):
     """,
 )
 def mentions_indexed(spark, sf_dir):
-    """The same pairs by the way taken for very many keywords."""
-    found = joins.mention_join(posts(spark, sf_dir), keywords(spark, sf_dir), "doc_id", direct=0, automaton=0)
+    """The same pairs; there is one way for any number of keywords."""
+    found = joins.mention_join(posts(spark, sf_dir), keywords(spark, sf_dir), "doc_id")
     return found.select("doc_id", "ticker")
 
 

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from tickstone.operators.parse import to_topic
 from tickstone.operators.report import ticker_documents
 
-# A single output file goes through one task, so its rows are bounded.
-SINGLE_FILE_ROWS = 5_000_000
-
 
 def default_path(run_date: date | None = None) -> str:
     return f"stock_analysis_results_{(run_date or date.today()):%Y%m%d}"
@@ -23,13 +20,11 @@ def save(
     df: DataFrame,
     path: str | None = None,
     fmt: str = "parquet",
-    single: bool = False,
     documents: bool = False,
 ) -> str:
     """Overwrite ``path`` with parquet, CSV (with header) or JSON lines; returns the path.
 
-    ``documents`` turns a market summary into one nested document per ticker first.  ``single``
-    writes one file; the rows are still computed in parallel.
+    ``documents`` turns a market summary into one nested document per ticker first.
     """
     path = path or default_path()
     fmt = fmt.lower()
@@ -37,10 +32,6 @@ def save(
         raise ValueError(f"unknown format: {fmt}")
     if documents:
         df = ticker_documents(df)
-    if single:
-        if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows; write several files instead")
-        df = df.repartition(1)
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True)

@@ -22,7 +22,9 @@ def _commits(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.schema("committed BIGINT").parquet(f"{path}/commits").select(
             F.col("committed").alias("batch_id")
         )
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "batch_id BIGINT")
 
 

@@ -47,7 +47,8 @@ def market_events_stream(
     ``history`` (key, prev_price, prev_volume) is a static frame that seeds a key's baselines.
     """
     wait = int(cfg.cooldown * 1_000_000)
-    rows = ticks.select(key, ts, tie, "price", "volume", micros(ts).alias("_us"))
+    known = ticks.where(F.col("price").isNotNull() & F.col("volume").isNotNull())  # others raise and change nothing
+    rows = known.select(key, ts, tie, "price", "volume", micros(ts).alias("_us"))
     if history is not None:
         seeds = history.select(key, F.col("prev_price").alias("_price"), F.col("prev_volume").alias("_volume"))
         rows = rows.join(seeds, key, "left")
@@ -112,12 +113,12 @@ def price_alerts_stream(
 
     def step(group: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pdf = _in_order(pdfs, tie)
-        before = pdf["close"].shift(1)
-        if state.exists:
-            before.iloc[0] = state.get[0]
-        state.update((float(pdf["close"].iloc[-1]),))
-        pdf["previous"] = before
-        compared = pdf[before.notna()]
+        # a row is compared with the last price known before it
+        first = state.get[0] if state.exists else None
+        known = pd.concat([pd.Series([first], dtype="float64"), pdf["close"].astype("float64")]).ffill().tolist()
+        state.update((None if pd.isna(known[-1]) else known[-1],))
+        pdf["previous"] = known[:-1]
+        compared = pdf[pdf["previous"].notna()]
         if len(compared):
             yield compared[[key, ts, tie, "close", "previous", "_sent"]]
 
