@@ -68,7 +68,7 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches with about ``limit`` bytes of text each (one text at least), to bound memory."""
     for batch in batches:
         at = batch.schema.get_field_index(column)
