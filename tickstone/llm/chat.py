@@ -61,10 +61,11 @@ def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     up = slim.alias("c").join(slim.alias("p"), _same("c", "p") & F.expr("c.parent_id = p.msg_id"), "left")
     state = up.select("c.conv_id", "c.msg_id", F.col("p.msg_id").alias("up"), F.col("c.score").alias("total"), F.lit(1).cast("long").alias("steps"))
     first = state = written(state, "jumps")
-    jumps = [state]
+    jumps, rooted = [state], state.where("up is null")
     most = slim.count()
+    # a message that has reached its root is final; only the others look further up
     while not (open_ := state.where("up is not null")).isEmpty() and (1 << (len(jumps) - 1)) < most:
-        joined = state.alias("c").join(state.alias("p"), _same("c", "p") & F.expr("c.up = p.msg_id"), "left")
+        joined = open_.alias("c").join(open_.unionByName(rooted).alias("p"), _same("c", "p") & F.expr("c.up = p.msg_id"), "left")
         state = joined.select(
             "c.conv_id",
             "c.msg_id",
@@ -74,8 +75,7 @@ def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
         )
         state = written(state, "jumps")
         jumps.append(state)
-    del open_
-    rooted = state.where("up is null")  # others hang on a circle
+        rooted = rooted.unionByName(state.where("up is null"))  # others hang on a circle
     leaves = rooted.alias("c").join(first.alias("p"), _same("c", "p") & F.expr("c.msg_id = p.up"), "left_anti")
     order = Window.partitionBy("conv_id").orderBy(F.desc("mean"), "msg_id")
     leaves = leaves.withColumn("mean", F.col("total") / F.col("steps")).withColumn("branch", F.row_number().over(order))
