@@ -176,7 +176,8 @@ def test_price_alerts_stream_equals_batch(spark, tmp_path):
 @pytest.mark.parametrize("watermark", [None, "10 seconds"])
 def test_dedup_alerts_stream_equals_batch(spark, tmp_path, watermark):
     rng = random.Random(5)
-    data = [(rng.choice("ab"), "m", BASE + timedelta(seconds=60 * i + rng.randint(0, 59)), i) for i in range(300)]
+    pick = lambda: (rng.choice(["a", "b", None]), rng.choice(["m", None]))
+    data = [(*pick(), BASE + timedelta(seconds=60 * i + rng.randint(0, 59)), i) for i in range(300)]
     df = spark.createDataFrame(data, "type string, message string, timestamp timestamp, id bigint")
     stream = in_batches(spark, df, "timestamp", 4, f"{tmp_path}/in")
     got = drain(dedup_alerts_stream(stream, 300, watermark=watermark), tmp_path)

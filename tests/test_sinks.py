@@ -11,7 +11,7 @@ from tickstone import schemas, sinks
 from tickstone.operators import market
 from tickstone.plans import jobs
 from tickstone.sources import TopicSpec, or_fallback, read_table, read_topic
-from tickstone.streaming import await_any, read_table_sink, start
+from tickstone.streaming import await_any, foreach_batch, read_table_sink, start
 
 BASE = datetime(2024, 1, 1, 12)
 
@@ -130,6 +130,19 @@ def test_market_job_from_topic_to_outputs(spark, tmp_path):
         jobs.market_job(ticks, tickers="none")
 
 
+def test_ticks_of_one_time_and_a_topic_without_records(spark, tmp_path):
+    path, prices = f"{tmp_path}/topic", f"{tmp_path}/prices"
+    envelope(spark, [tick(0, close=c) for c in (10.0, 12.0, 11.0)]).repartition(3).write.parquet(path)
+    ticks = jobs.load_ticks(spark, TopicSpec("t", path=path))
+    assert rows(ticks, "seq", "close") == [(0, 10.0), (1, 12.0), (2, 11.0)]
+    assert rows(jobs.market_job(ticks), "ticker", "open", "close") == [("A", 10.0, 11.0)]
+    stored = [("B", datetime(2024, 1, 1), datetime(2024, 1, 1).date(), 1.0, 1.0, 1.0, 1.0, 5)]
+    spark.createDataFrame(stored, schemas.PRICE_ROW).write.parquet(prices)
+    assert rows(jobs.load_ticks(spark, TopicSpec("none", path=path), path=prices), "ticker") == [("B",)]
+    assert rows(jobs.load_ticks(spark, TopicSpec("t", path=path), path=prices), "ticker") == [("A",)] * 3
+    assert jobs.load_ticks(spark, TopicSpec("none", path=path)).isEmpty()
+
+
 def test_landing_and_minute_counts(spark, tmp_path):
     path = f"{tmp_path}/topic"
     records = [{"user_id": i, "event": "login", "timestamp": f"2024-01-01T10:00:0{i}"} for i in range(3)] + ["{bad"]
@@ -195,7 +208,7 @@ def test_feed_and_notify_jobs(spark, tmp_path):
     news = [
         {"ticker": "A", "title": "good good", "source": "news", "timestamp": BASE.isoformat(), "data_type": "news"},
         {"ticker": "B", "title": "meh", "content": "x", "source": "reddit", "published_at": BASE.isoformat(), "data_type": "reddit"},
-        {"data_type": "other"}, "{bad",
+        {"data_type": "other"}, "{bad", {"ticker": "C", "price": None, "volume": 1, "data_type": "stock_price"},
     ]
     lexicon = spark.createDataFrame([("good", 2.0)], "token string, valence double")
     root = f"{tmp_path}/root"
@@ -208,6 +221,10 @@ def test_feed_and_notify_jobs(spark, tmp_path):
     assert rows(results, "ticker", "sentiment_label") == [("A", "positive"), ("B", "neutral")]
     assert sinks.read_committed(spark, f"{root}/news", "alerts").count() == 1
 
+    assert rows(spark.read.parquet(f"{root}/stock_prices"), "ticker", "price") == [("A", 100.0), ("A", 100.0), ("A", 110.0)]
+    rejected = [r.value for r in spark.read.parquet(f"{root}/rejected").collect()]
+    assert len(rejected) == 3 and "{bad" in rejected
+
     again = tmp_path / "notify"
     again.mkdir()
     alerts = [{"type": "price_drop", "message": "m", "severity": "high"}] * 3 + [{"message": "n"}]
@@ -216,6 +233,31 @@ def test_feed_and_notify_jobs(spark, tmp_path):
     assert rows(sent, "message", "severity_class") == [("m", "critical"), ("n", "info")]
 
 
+def test_price_alert_job(spark, tmp_path):
+    ticks = [tick(0), tick(1, close=10.1), tick(2, close=10.9), "{bad", tick(3, close=None), tick(4, "B"), tick(5, "B", 10.5)]
+    own = spark.createDataFrame([("B", 6.0)], "ticker string, threshold double")
+    finish([jobs.price_alert_job(stream(spark, tmp_path, ticks), own, f"{tmp_path}/root")])
+    sent = spark.read.parquet(f"{tmp_path}/root/price_alerts")
+    assert rows(sent, "ticker", "close", "previous", "direction") == [("A", 10.9, 10.1, "up")]
+
+
+def test_a_micro_batch_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = stream(spark, tmp_path, [{"id": str(i)} for i in range(20)]).select("offset")
+
+    def write(batch, batch_id):
+        sinks.write_replay_safe({"one": batch, "two": batch}, f"{tmp_path}/out", batch_id)
+
+    finish([start(source.mapInArrow(count, "offset long"), foreach_batch(write), checkpoint=f"{tmp_path}/checkpoint")])
+    assert sinks.read_committed(spark, f"{tmp_path}/out", "two").count() == 20 and seen.value == 20
+
+
 def test_transform_and_triggers(spark, tmp_path):
     records = [{"pet_name": "Rex", "pet_mood_post_treat": "zoomy", "final_treat": True}, "{bad"]
     source = stream(spark, tmp_path, records)

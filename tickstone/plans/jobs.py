@@ -16,7 +16,14 @@ from tickstone import schemas
 from tickstone.operators import aggregates, alerts, filters, market, parse, report, sentiment, topk, windows
 from tickstone.sinks import save, write_jdbc, write_replay_safe, write_topic
 from tickstone.sources import TopicSpec, read_table, read_topic
-from tickstone.streaming import dedup_alerts_stream, foreach_batch, market_events_stream, start, table_sink
+from tickstone.streaming import (
+    dedup_alerts_stream,
+    foreach_batch,
+    market_events_stream,
+    price_alerts_stream,
+    start,
+    table_sink,
+)
 
 
 def load_ticks(
@@ -27,9 +34,17 @@ def load_ticks(
     start_day: date | None = None,
     end_day: date | None = None,
 ) -> DataFrame:
-    """Price ticks from a topic, else from JDBC or parquet, for whole days."""
-    if topic is not None:
-        ticks = parse.with_event_time(read_topic(spark, topic, schemas.PRICE_TICK), "timestamp", "ts")
+    """Price ticks from a topic, else from JDBC or parquet, for whole days.
+
+    With both, the stored table takes the place of a topic without records.  Ticks of a topic carry ``seq``, their
+    place in it, which orders ticks of one time.
+    """
+    records = read_topic(spark, topic) if topic is not None else None
+    stored = path is not None or jdbc is not None
+    if records is not None and not (stored and records.isEmpty()):
+        parsed = parse.parse_topic(records, schemas.PRICE_TICK, keep=("key", "partition", "offset"))
+        seq = F.shiftleft(F.col("partition").cast("long"), 48) + F.col("offset")
+        ticks = parse.with_event_time(parsed.withColumn("seq", seq).drop("partition", "offset"), "timestamp", "ts")
     else:
         ticks = read_table(spark, path=path, jdbc=jdbc).withColumn("ts", F.col("timestamp").cast("timestamp"))
     return filters.in_days(ticks, "ts", start_day, end_day)
@@ -41,7 +56,11 @@ def market_job(
     tickers: Sequence[str] | str = (),
     seq: str | None = None,
 ) -> DataFrame:
-    """Summary of every (chosen) ticker: daily bars, indicators, signals, latest row."""
+    """Summary of every (chosen) ticker: daily bars, indicators, signals, latest row.
+
+    ``seq`` orders ticks of one time; it defaults to the column of that name, if there is one.
+    """
+    seq = seq or ("seq" if "seq" in ticks.columns else None)
     chosen = filters.require_rows(filters.in_keys(ticks, "ticker", tickers), "ticks")
     return market.summarize(market.analyse(market.daily_ohlcv(chosen, seq=seq), cfg), cfg)
 
@@ -162,14 +181,20 @@ def feed_job(
     """Price events and news sentiment of a mixed feed.
 
     Prices go through keyed state; news are scored per micro-batch.  Both write their rows and
-    their alerts together under ``root``/prices and ``root``/news.
+    their alerts together under ``root``/prices and ``root``/news.  The prices themselves go to ``root``/stock_prices,
+    whose latest rows can be the ``history`` of a later run.  Records of an unknown kind, malformed ones and prices
+    without time, price or volume go to ``root``/rejected as they came.
     """
     kind = F.get_json_object(F.col("value").cast("string"), "$.data_type").alias("data_type")
     routed = parse.split_routes(records.select("*", kind))
 
-    prices = parse.with_event_time(
-        parse.parse_topic(routed["stock"], schemas.RAW_STOCK, keep=("offset",)), "timestamp", "ts"
-    ).where("ts IS NOT NULL AND price IS NOT NULL AND volume IS NOT NULL")
+    parsed = parse.parse_topic(routed["stock"], schemas.RAW_STOCK, keep=("offset", "value"))
+    parsed = parse.with_event_time(parsed, "timestamp", "ts")
+    usable = F.expr("ts IS NOT NULL AND price IS NOT NULL AND volume IS NOT NULL")
+    prices = parsed.where(usable).drop("value")
+    stored = prices.select("ticker", F.col("ts").alias("timestamp"), "price", "volume")
+    unknown = parse.decode_envelope(routed["unknown"]).select("value")
+    rejected = parsed.where(~usable).select("value").unionByName(unknown)
     events = market_events_stream(prices, cfg, tie="offset", history=history)
 
     def write_prices(batch: DataFrame, batch_id: int) -> None:
@@ -192,17 +217,29 @@ def feed_job(
     return [
         start(events, foreach_batch(write_prices), "append", f"{root}/checkpoint/prices", "prices"),
         start(news, foreach_batch(write_news), "append", f"{root}/checkpoint/news", "news"),
+        _to_files(stored, root, "stock_prices"),
+        _to_files(rejected, root, "rejected"),
     ]
 
 
-def notify_job(records: DataFrame, root: str, seconds: float = 300) -> StreamingQuery:
-    """Alerts without repeats, labelled for delivery, to ``root``/notifications."""
+def price_alert_job(records: DataFrame, thresholds: DataFrame, root: str, default: float = 2.0) -> StreamingQuery:
+    """Alerts on ticks whose price moved by the ticker's threshold or more, to ``root``/price_alerts."""
+    parsed = parse.parse_topic(records, schemas.PRICE_TICK, keep=("offset",))
+    ticks = parse.with_event_time(parsed, "timestamp", "ts").where("ts IS NOT NULL AND close IS NOT NULL")
+    return _to_files(price_alerts_stream(ticks, thresholds, default, tie="offset"), root, "price_alerts")
+
+
+def notify_job(records: DataFrame, root: str, seconds: float = 300, late: str = "1 hour") -> StreamingQuery:
+    """Alerts without repeats, labelled for delivery, to ``root``/notifications.
+
+    Alerts that come more than ``late`` after newer ones are not sent.
+    """
     received = records.withColumnRenamed("timestamp", "_received")
     parsed = parse.parse_topic(received, schemas.ALERT, keep=("offset", "_received"))
     stamp = F.coalesce(F.try_to_timestamp("timestamp"), F.col("_received"))
     timed = parsed.withColumn("timestamp", stamp).drop("_received")
     filled = parse.fill_missing(timed, {"type": report.ALERT_TYPE, "message": report.ALERT_MESSAGE})
-    unique = dedup_alerts_stream(filled, seconds, tie="offset", watermark=f"{int(seconds)} seconds")
+    unique = dedup_alerts_stream(filled, seconds, tie="offset", watermark=late)
     return _to_files(report.alert_labels(unique), root, "notifications")
 
 

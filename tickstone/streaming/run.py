@@ -50,13 +50,17 @@ def start(
 def foreach_batch(write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """Micro-batch sink that flattens windows to ISO text and skips empty batches.
 
-    ``write`` gets a DataFrame and should write it as one; it must accept a batch twice.
+    ``write`` gets a DataFrame and must accept a batch twice.  The batch is kept while it runs, so that state is
+    read and rows are scored once, however many outputs it writes.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        flat = flatten_window(batch) if "window" in batch.columns else batch
-        if not flat.isEmpty():
-            write(flat, batch_id)
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                write(flatten_window(batch) if "window" in batch.columns else batch, batch_id)
+        finally:
+            batch.unpersist()
 
     return sink
 

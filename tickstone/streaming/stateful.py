@@ -152,7 +152,7 @@ def dedup_alerts_stream(
     With a ``watermark`` delay the state of an alert is dropped once it can no longer matter.
     """
     wait = int(seconds * 1_000_000)
-    rows = alerts.withColumns({"_alert": F.concat("type", F.lit(":"), "message"), "_us": micros(ts)})
+    rows = alerts.withColumns({"_alert": F.to_json(F.struct("type", "message")), "_us": micros(ts)})
     if watermark:
         rows = rows.withWatermark(ts, watermark)
     columns = list(alerts.columns)
