@@ -139,6 +139,31 @@ def test_containment_equals_brute_force(spark):
     assert containment.contained(table(spark, []), item_table).count() == 0
 
 
+def test_containment_of_items_that_repeat_themselves(spark):
+    rnd = random.Random(14)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    items, docs = [], []
+    for i in range(36):
+        passage, times = rnd.choices(vocabulary, k=rnd.choice([10, 12, 24])), rnd.randint(15, 60)
+        items.append((i, " ".join(passage * times)))
+        words = rnd.choices(vocabulary, k=5000)
+        if i % 3 == 2:  # the passage many times, other words between
+            for _ in range(times):
+                at = rnd.randrange(len(words))
+                words[at:at] = passage * 2
+        else:  # the whole item, or the passage twice
+            at = rnd.randrange(len(words))
+            words[at:at] = passage * (times if i % 3 else 2)
+        docs.append((i, " ".join(words)))
+    sets = {i: shingles(t, 5, short=False) for i, t in items}
+    want = set()
+    for d, text in docs:
+        own = shingles(text, 5)
+        want |= {(d, i, len(s), len(s & own)) for i, s in sets.items() if 100 * len(s & own) >= 80 * len(s)}
+    got = containment.contained(table(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert {tuple(r) for r in got.select("doc_id", "item_id", "n_item", "n_shared").collect()} == want and len(want) >= 36
+
+
 def plain_lines(rows, least):
     """Deleted lines by comparing all runs."""
     seqs = {(i, t): [(p, x) for p, x in enumerate(t.split("\n")) if WORD.search(x)] for i, t in rows if t is not None}

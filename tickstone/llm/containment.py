@@ -1,10 +1,13 @@
 """Benchmark items contained in documents, by MinHash in size partitions.
 
-Items are partitioned by their number of words: partition p holds those of up to ``2**p``.  For it, a document is cut
-into half-overlapping windows of two runs of ``2**p`` shingles, so that an item that occurs in the text lies whole in
-one window.  Each of ``HASHES`` MinHash functions gives the smallest number of a window; windows of a larger partition
-take the minima of two smaller ones, so all partitions cost little more than the smallest.  An item that fills at
-least a quarter of a window shares a minimum with it with probability above 1 - 0.81**48, for a containment of 0.8.
+Items are partitioned by their number of distinct shingles, repeats not counted: partition p holds those of up to
+``2**p``.  For it, a document is cut into half-overlapping windows of two runs of ``2**p`` shingles, so that an item
+that occurs in the text and does not repeat itself lies whole in one window.  Each of ``HASHES`` MinHash functions gives
+the smallest number of a window; windows of a larger partition take the minima of two smaller ones, so all partitions
+cost little more than the smallest.  An item that fills at least a quarter of a window shares a minimum
+with it with probability above 1 - 0.81**48, for a containment of 0.8.  If its shingles stand in several windows (it
+repeats itself, or is dealt over the text), each that the document has is in a window with less than four times as many
+others as the item has shingles, and the probability that one of these windows shares a minimum is above 1 - 0.84**48.
 
 A window's minima are looked up in a bitmap of fixed size that holds the items' minima; those found are joined with the
 items' minima on exact values, which gives candidate pairs.  Which shingles a document shares with items is told by a
@@ -87,7 +90,7 @@ def _item_keys(items: DataFrame, item_id: str, text: str, k: int) -> DataFrame:
         for batch in text_batches(batches, "text"):
             for i, values in enumerate(shingles(batch.column(1), k, short=False)):
                 if values.size:
-                    level = _level(values.size)
+                    level = _level(np.unique(values).size)
                     found = _window_keys(level, _run_minima(values, values.size)).ravel().view(np.int64)
                     ids = pa.array([batch.column(0)[i].as_py()] * found.size, batch.column(0).type)
                     yield pa.RecordBatch.from_arrays([ids, pa.array([level] * found.size, pa.int32()), pa.array(found)], ["item_id", "level", "key"])
