@@ -5,6 +5,7 @@ import re
 import sys
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,6 +212,20 @@ def test_mix_reaches_targets(spark):
     assert mixing.mixed(table(spark, [(1, None), (2, "")]), n_words(F.col("text"))).where("taken <> 0").isEmpty()
 
 
+def test_mix_draws_as_many_equal_rows_as_fit(spark, tmp_path):
+    rows = [(7, "a b c", "s0")] * 200 + [(None, "a b c d", "s1")] * 150 + [(i, "a b", "s1") for i in range(150)]
+    rows += [(8, "a b c d e", "s2")] * 90 + [(9, "", "s2")] * 40 + [(9, None, "s2")] * 3 + [(8, "a", "s2")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    out = mixing.mixed(docs, n_words(F.col("text")))
+    got = out.groupBy("source").agg(F.first("target").alias("t"), F.sum("taken").alias("n"), F.max("size").alias("m"), F.count("*").alias("c")).collect()
+    assert {r["source"]: r["c"] for r in got} == {"s0": 200, "s1": 300, "s2": 163}
+    assert all(abs(r["t"] - r["n"]) <= r["m"] / 2 for r in got)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert differences(QUERIES["op9_source_mix"](spark, str(tmp_path)), con, SQL["op9_source_mix"]) is None
+
+
 def test_reply_trees(spark):
     rows = [("c", 1, None, "user", "hi", 1.0), ("c", 2, 1, "assistant", "a", 0.0), ("c", 3, 1, "assistant", "b", 9.0), ("c", 4, 3, "user", "more", 2.0),
             ("c", 5, 99, "system", "lost parent", 0.5), ("x", 1, 2, "user", "circle", 1.0), ("x", 2, 1, "user", "circle", 1.0), (None, 1, None, None, None, None),

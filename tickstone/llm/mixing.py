@@ -10,7 +10,8 @@ Running totals are not formed over whole sources.  Ranks fall into ``BINS`` bins
 which bin the total is reached, and only that bin's documents are put in order.
 
 A NULL or empty text has size 0 and is taken with the rest for nothing; a NULL source is a source of its own, the
-last.  Equal rows are drawn alike except for the one where the total is reached.  Rows of one id have one random number.
+last.  Rows of one id have one random number.  Rows of one id and size are equals: they are drawn alike, unless the total
+is reached among them; then as many of them are drawn as fit, which ones depends on the order in which they are read.
 """
 
 from __future__ import annotations
@@ -90,12 +91,20 @@ def mixed(
     full = bins.where("reached > wanted").groupBy("source").agg(F.min(F.struct("bin", (F.col("reached") - F.col("n")).alias("before"))).alias("cut"))
     cuts = written(full.select(F.col("source").alias("_cut"), "cut.bin", "cut.before"), "cuts").withColumnRenamed("bin", "cut_bin")
     edge = ranked(sized).join(cuts, F.col("source").eqNullSafe(F.col("_cut")) & (F.col("bin") == F.col("cut_bin")))
-    # in the bin where the total is reached
+    # in the bin where the total is reached; equal rows are one place
+    edge = edge.groupBy("source", "rank", "doc_id", "size").agg(F.count("*").alias("equals"), F.first("before").alias("before"), F.first("wanted").alias("wanted"))
     order = Window.partitionBy("source").orderBy("rank", F.asc_nulls_last("doc_id"), "size")
-    edge = edge.withColumn("middle", F.col("before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size") / 2)
+    upto = F.sum(F.col("size") * F.col("equals")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    edge = edge.withColumn("start", F.col("before") + upto - F.col("size") * F.col("equals"))
+    fits = lambda n: F.col("start") + n * F.col("size") - F.col("size") / 2 <= F.col("wanted")
+    guess = F.floor((F.col("wanted") - F.col("start")) / F.greatest("size", F.lit(1)) + 0.5)  # may be one off by rounding
+    fit = F.when(F.col("size") <= 0, F.when(fits(F.lit(1)), F.col("equals")).otherwise(0))
+    fit = fit.when(fits(guess + 1), guess + 1).when(fits(guess), guess).otherwise(guess - 1)
+    edge = edge.withColumn("fit", F.least(fit, "equals"))
     edge = edge.withColumn("place", F.struct("rank", F.col("doc_id").isNull().alias("last"), "doc_id", "size"))
-    last = edge.where("middle <= wanted").groupBy("source").agg(F.max("place").alias("last_place"))
-    last = written(last.select(F.col("source").alias("_last"), "last_place"), "last")
+    last = edge.where("fit > 0").groupBy("source").agg(F.max(F.struct("place", "fit", "equals")).alias("l"))
+    last = last.select(F.col("source").alias("_last"), F.col("l.place").alias("last_place"), "l.fit", (F.col("l.fit") < F.col("l.equals")).alias("split"))
+    last = written(last, "last")
 
     named = {c: f"_in_{i}" for i, c in enumerate(docs.columns)}
     inner = docs.select(
@@ -110,6 +119,19 @@ def mixed(
     place = F.struct("rank", F.col("doc_id").isNull().alias("last"), "doc_id", "size")
     drawn = F.when(F.col("p") <= 0, 0).when(F.col("cut_bin").isNull() | (F.col("bin") < F.col("cut_bin")), 1)
     drawn = drawn.when((F.col("bin") == F.col("cut_bin")) & (place <= F.col("last_place")), 1).otherwise(0)
+    if not last.where("split").isEmpty():
+        # only some of the equal rows of the last place fit: these are numbered, by part of the table and in it
+        among = F.coalesce(F.col("split") & (F.col("bin") == F.col("cut_bin")) & (place == F.col("last_place")), F.lit(False))
+        equals = written(inner.where(among).withColumn("_row", F.monotonically_increasing_id()), "equals")
+        equals = equals.withColumn("_part", F.shiftright("_row", 33))
+        parts = equals.groupBy("source", "_part").agg(F.count("*").alias("n"))
+        earlier = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.select(F.col("source").alias("_of"), F.col("_part").alias("_of_part"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_earlier"))
+        equals = equals.join(parts, F.col("source").eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_of_part")))
+        number = F.row_number().over(Window.partitionBy("source", "_part").orderBy("_row")) + F.col("_earlier")
+        equals = equals.withColumn("_drawn", (number <= F.col("fit")).cast("int")).select(*inner.columns, "_drawn")
+        inner = inner.where(~among).withColumn("_drawn", F.lit(None).cast("int")).unionByName(equals)
+        drawn = F.when(F.col("_drawn").isNotNull(), F.col("_drawn")).otherwise(drawn)
     copies = F.col("whole") + F.coalesce(drawn, F.lit(0))
     out = inner.select(
         *[F.col(n).alias(c) for c, n in named.items() if c != "size"],
