@@ -1,6 +1,7 @@
 """Token counts, languages, toxicity and personal data against plain versions on small tables."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -140,6 +141,16 @@ def test_toxic_passages_are_found(spark):
     assert found[0]["expected"] < 0.05
 
 
+def test_every_significant_token_is_kept(spark):
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèñç"
+    words = ["".join(w) for w in itertools.product(letters, repeat=3)]
+    words, others = words[:24_000], words[24_000:]
+    text, other = " ".join(words), " ".join(others)
+    rows = [(i, text, 1) for i in range(60)] + [(i, text, 0) for i in range(60, 66)] + [(i, other, 0) for i in range(66, 126)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(8))
+    assert all(model.weights.get(w, (0, 0))[1] > 0 for w in words)
+
+
 def test_toxicity_without_lessons(spark):
     train = toxic_rows(spark)
     for rows in (train.limit(0), train.where("toxic = 1"), train.where("toxic = 0")):

@@ -12,9 +12,9 @@
 4. A text's evidence is the sum of -ln(expected number) over its significant segments; a logistic curve fitted on
    the training texts turns it into a probability.
 
-Everything but the bounded table of significant tokens (``terms`` rows, the strongest by z) is counted over all
-labelled rows and stays distributed.  NULL and empty texts have no segment and get the curve's value at no evidence.
-Without labelled rows of both kinds nothing can be learned and every score is 0.
+Everything is counted over all labelled rows and stays distributed, but for the table of significant tokens: all of them
+are kept, none is cut, and the driver and each worker hold the table.  NULL and empty texts have no segment and get
+the curve's value at no evidence.  Without labelled rows of both kinds nothing can be learned and every score is 0.
 """
 
 from __future__ import annotations
@@ -211,7 +211,6 @@ def fit(
     prior: float = 10_000.0,
     least_z: float = 4.0,
     drift: float = 0.5,
-    terms: int = 20_000,
     alpha: float = 0.05,
 ) -> Model:
     """Learn from all rows of ``train`` that have a text and a label of 0 or 1."""
@@ -226,7 +225,7 @@ def fit(
     scored = counts.withColumn("delta", odds(F.col("toxic"), n_toxic) - odds(F.col("clean"), n_clean))
     scored = scored.withColumn("error", F.sqrt(1 / (F.col("toxic") + share) + 1 / (F.col("clean") + share)))
     scored = scored.withColumn("z", F.abs("delta") / F.col("error")).where(F.col("z") >= least_z)
-    best = scored.orderBy(F.desc("z"), "token").limit(terms).collect()  # at most ``terms`` rows
+    best = scored.select("token", "z", "delta", "error", "clean").orderBy(F.desc("z"), "token").toArrow().to_pylist()  # all significant ones
     sign = lambda r: r["delta"] - math.copysign(r["error"], r["delta"])
     model = Model({r["token"]: (r["z"], sign(r)) for r in best}, drift, alpha=alpha)
     known = sum(r["clean"] for r in best)
