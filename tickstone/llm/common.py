@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,6 +65,11 @@ def may_match(docs: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
     return docs.withColumn("_bit", _bit(column)).mapInArrow(keep, docs.schema)
 
 
+def lowered(text: Column) -> Column:
+    """``text`` with A-Z, and nothing else, in lower case."""
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickstone.llm import chat, containment, jaccard, language, lines, mixing, pii, tokens, topk, toxicity
+from tickstone.llm import chat, containment, jaccard, language, lines, mixing, pii, search, tokens, topk, toxicity
 from tickstone.llm.common import fold, may_match, n_words, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,26 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold("doc_id", 5) == 0
     out = language.identify(docs.withColumn("held_out", F.coalesce(held_out, F.lit(False))), docs.where(~held_out))
     return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query(
+    "op11_lexical_search",
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+    b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(t))::HUGEINT AS n_terms FROM d WHERE len(t) > 0),
+    x AS (SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, len(t)::HUGEINT AS n, unnest(t) AS term FROM d)
+          WHERE term IN (SELECT term FROM b) GROUP BY ALL),
+    w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+          FROM (SELECT term, count(*) AS df FROM x GROUP BY term), s),
+    p AS (SELECT row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)::BIGINT)) AS part
+          FROM x JOIN w USING (term), s),
+    r AS (SELECT item_id, row, doc_id, sum(part)::BIGINT AS score FROM b JOIN p USING (term) GROUP BY item_id, row, doc_id),
+    k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM r WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
