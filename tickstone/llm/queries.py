@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickstone.llm import chat, containment, jaccard, language, lines, mixing, pii, search, tokens, topk, toxicity
+from tickstone.llm import chat, collocation, containment, jaccard, language, lines, mixing, pii, quality, search, tokens, topk, toxicity
 from tickstone.llm.common import fold, may_match, n_words, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,3 +221,73 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op12_collocations",
+    r"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+    o AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+          FROM w, (VALUES (1), (2), (3)) AS sizes (k)),
+    f AS (SELECT lang, k, phrase, count(*) AS f FROM o GROUP BY ALL),
+    n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+    c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 10),
+    x AS (SELECT lang, k, phrase, a, cut, array_to_string(w[:cut], ' ') AS left_part, array_to_string(w[cut + 1:], ' ') AS right_part
+          FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+    y AS (SELECT x.lang, x.k, x.phrase, a, cut, l.f AS l, r.f AS r, ((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+          FROM x JOIN f l ON x.lang = l.lang AND x.left_part = l.phrase JOIN f r ON x.lang = r.lang AND x.right_part = r.phrase),
+    z AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    i AS (SELECT lang, array_to_string(w[s:s + 1], ' ') AS phrase, max(a) AS longer
+          FROM (SELECT lang, w, a, unnest([1, 2]) AS s FROM c WHERE k = 3) GROUP BY ALL),
+    r AS (SELECT z.*, row_number() OVER (PARTITION BY z.lang ORDER BY score DESC, a DESC, z.phrase) AS rank
+          FROM z LEFT JOIN i ON z.lang = i.lang AND z.phrase = i.phrase WHERE longer IS NULL OR 100 * longer < 50 * a)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_quality_rules",
+    r"""
+    WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+    w AS MATERIALIZED (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+                              list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+    o AS (SELECT row, i, w[i:i + 2] AS three FROM (SELECT row, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+    t AS (SELECT row, unnest([i, i + 1, i + 2]) AS place FROM (SELECT row, i FROM o QUALIFY count(*) OVER (PARTITION BY row, three) > 1)),
+    r AS (SELECT row, count(DISTINCT place) AS n FROM t GROUP BY row),
+    m AS (SELECT row, doc_id, lang, source, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+                 (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, len(lines) AS n_lines,
+                 (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+          FROM w LEFT JOIN r USING (row)),
+    b AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+    rates AS (SELECT row, lang, source, unnest([1, 2, 3, 4]) AS rate,
+                     unnest([word_chars * 1000 // n_words, n_symbols * 1000 // n_words, n_repeat_words * 1000 // n_words,
+                             coalesce(n_dup_lines * 1000 // n_lines, 0)]) AS v
+              FROM b WHERE NOT base_failed),
+    h AS (SELECT level, CASE WHEN level >= 1 THEN lang END AS lang, CASE WHEN level = 2 THEN source END AS source, rate,
+                 (v >> greatest(length(bin(v)) - 7, 0)) << greatest(length(bin(v)) - 7, 0) AS bin, count(*) AS n
+          FROM rates, (VALUES (0), (1), (2)) AS levels (level) GROUP BY ALL),
+    c AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, rate ORDER BY bin) AS so_far,
+                 sum(n) OVER (PARTITION BY level, lang, source, rate) AS total FROM h),
+    q AS (SELECT level, lang, source, rate, min(bin) FILTER (4 * so_far >= total) AS q1, min(bin) FILTER (4 * so_far >= 3 * total) AS q3
+          FROM c WHERE total >= 100 GROUP BY ALL),
+    f AS MATERIALIZED (SELECT level, lang, source, rate, q3 + 3 * greatest(q3 - q1, spread) AS high,
+                              CASE WHEN rate = 1 THEN q1 - 3 * greatest(q3 - q1, spread) ELSE -1 END AS low
+                       FROM q JOIN (VALUES (1, 500), (2, 30), (3, 50), (4, 100)) AS s (rate, spread) USING (rate)),
+    x AS (SELECT row, min(rates.rate) AS first FROM rates
+          LEFT JOIN f f2 ON f2.level = 2 AND f2.rate = rates.rate AND f2.lang IS NOT DISTINCT FROM rates.lang AND f2.source IS NOT DISTINCT FROM rates.source
+          LEFT JOIN f f1 ON f1.level = 1 AND f1.rate = rates.rate AND f1.lang IS NOT DISTINCT FROM rates.lang
+          LEFT JOIN f f0 ON f0.level = 0 AND f0.rate = rates.rate
+          WHERE v > coalesce(f2.high, f1.high, f0.high) OR v < coalesce(f2.low, f1.low, f0.low) GROUP BY row)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND x.first IS NULL AS kept,
+           CASE WHEN base_failed THEN 'base' ELSE ['word_length', 'symbols', 'repeated_words', 'repeated_lines'][x.first] END AS rule
+    FROM b LEFT JOIN x USING (row)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = quality.measured(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")).drop("text")
+    return quality.judged(written(docs, "measured")).select("doc_id", *quality.MEASURES, "kept", "rule")
