@@ -53,8 +53,8 @@ class Rate(NamedTuple):
 RATES = [
     Rate("word_length", "word_chars", "n_words", 500, low=True),
     Rate("symbols", "n_symbols", "n_words", 30),
-    Rate("repeated_words", "n_repeat_words", "n_words", 50),
-    Rate("repeated_lines", "n_dup_lines", "n_lines", 100),
+    Rate("repeated_words", "n_repeat_words", "n_words", 100),
+    Rate("repeated_lines", "n_dup_lines", "n_lines", 150),
 ]
 
 

@@ -277,7 +277,7 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
           FROM c WHERE total >= 100 GROUP BY ALL),
     f AS MATERIALIZED (SELECT level, lang, source, rate, q3 + 3 * greatest(q3 - q1, spread) AS high,
                               CASE WHEN rate = 1 THEN q1 - 3 * greatest(q3 - q1, spread) ELSE -1 END AS low
-                       FROM q JOIN (VALUES (1, 500), (2, 30), (3, 50), (4, 100)) AS s (rate, spread) USING (rate)),
+                       FROM q JOIN (VALUES (1, 500), (2, 30), (3, 100), (4, 150)) AS s (rate, spread) USING (rate)),
     x AS (SELECT row, min(rates.rate) AS first FROM rates
           LEFT JOIN f f2 ON f2.level = 2 AND f2.rate = rates.rate AND f2.lang IS NOT DISTINCT FROM rates.lang AND f2.source IS NOT DISTINCT FROM rates.source
           LEFT JOIN f f1 ON f1.level = 1 AND f1.rate = rates.rate AND f1.lang IS NOT DISTINCT FROM rates.lang
