@@ -202,6 +202,11 @@ def collocations(
     texts = docs.where(F.col(text).isNotNull())
     named = F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang")
     found = frequent(texts.select(F.col(doc_id).alias("id"), named, F.col(text).cast("binary").alias("text")), least, share)
+    return ranked(found, top)
+
+
+def ranked(found: DataFrame, top: int = TOP) -> DataFrame:
+    """The result of :func:`collocations` from the counts of :func:`frequent`."""
     candidates = found.where("size >= 2")
     cut = F.col("cut")
     words = F.split("phrase", " ")
@@ -213,14 +218,14 @@ def collocations(
     cuts = cuts.join(part_counts.select("lang", F.col("phrase").alias("right"), F.col("n").alias("r")), ["lang", "right"])
     exact = "cast(n as decimal(19, 0)) * cast(n as decimal(19, 0)) * 1000000 div (cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)))"
     weakest = F.min(F.struct(F.expr(exact).alias("score"), "cut", "l", "r")).alias("w")
-    ranked = cuts.groupBy("lang", "size", "phrase", F.col("n").alias("a")).agg(weakest)
+    out = cuts.groupBy("lang", "size", "phrase", F.col("n").alias("a")).agg(weakest)
     inner = F.explode(F.array(part(F.lit(1), F.lit(2)), part(F.lit(2), F.lit(2)))).alias("phrase")
     longer = candidates.where("size = 3").select("lang", inner, "n").groupBy("lang", "phrase").agg(F.max("n").alias("longer"))
-    ranked = ranked.join(longer, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < INSIDE * F.col("a"), F.lit(True)))
-    ranked = ranked.select("lang", "phrase", "a", "w.l", "w.r", "w.score").withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    out = out.join(longer, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < INSIDE * F.col("a"), F.lit(True)))
+    out = out.select("lang", "phrase", "a", "w.l", "w.r", "w.score").withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
     order = [F.desc("score"), F.desc("a"), F.col("phrase")]
-    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= top)
-    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
+    out = out.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= top)
+    out = out.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     totals = found.where("size = 0").select("lang", F.col("n").alias("n"))
-    out = ranked.join(totals, "lang").withColumn("rank", F.col("rank").cast("long"))
+    out = out.join(totals, "lang").withColumn("rank", F.col("rank").cast("long"))
     return out.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

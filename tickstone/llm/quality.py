@@ -111,7 +111,7 @@ def _bin(value: Column) -> Column:
 
 
 def sketches(measured_docs: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """(level, lang, source, rate, bin, n): histograms of the texts that pass the base rules, merged at three levels."""
+    """(level, lang, source, rate, bin, n): histograms of the stored texts that pass the base rules, merged at three levels."""
     rates = F.array(*[F.struct(F.lit(r.name).alias("rate"), _bin(r.value()).alias("bin")) for r in RATES])
     rows = measured_docs.where(~F.col("base_failed")).select(F.col(lang).alias("lang"), F.col(source).alias("source"), F.explode(rates).alias("r"))
     finest = rows.groupBy("lang", "source", "r.rate", "r.bin").agg(F.count("*").alias("n"))
@@ -143,17 +143,19 @@ def thresholds(histograms: DataFrame) -> DataFrame:
     names = [f"{r.name}_{side}" for r in RATES for side in ("low", "high")]
     packed = F.when(F.col("n") >= ENOUGH, F.struct(*names))
     level = lambda k, *keys: found.where(F.col("level") == k).select(*keys, packed.alias(f"f{k}"))
-    out = level(2, "lang", "source").withColumn("level", F.lit(0))
     langs = level(1, F.col("lang").alias("_lang"))
-    out = out.join(langs, F.col("lang").eqNullSafe(F.col("_lang")), "left").join(level(0, "level"), "level", "left")
-    return out.select("lang", "source", F.coalesce("f2", "f1", "f0").alias("fences")).select("lang", "source", "fences.*")
+    out = level(2, "lang", "source").join(langs, F.col("lang").eqNullSafe(F.col("_lang")), "left")
+    overall = level(0).first()  # one row
+    overall = F.struct(*[F.lit(overall["f0"][n] if overall and overall["f0"] else None).cast("long").alias(n) for n in names])
+    return out.select("lang", "source", F.coalesce("f2", "f1", overall).alias("fences")).select("lang", "source", "fences.*")
 
 
 def judged(measured_docs: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """Measured rows with ``kept`` and ``rule``, the first rule that rejects the row or NULL.
 
-    The rows are read twice: pass a stored table.
+    The rows are written once and read twice; drop the text before if it isn't needed after.
     """
+    measured_docs = written(measured_docs, "measured")
     limits = thresholds(sketches(measured_docs, lang, source))
     limits = limits.withColumnsRenamed({c: f"_{c}" for c in limits.columns})
     own = F.col(lang).eqNullSafe(F.col("_lang")) & F.col(source).eqNullSafe(F.col("_source"))
@@ -167,4 +169,4 @@ def judged(measured_docs: DataFrame, lang: str = "lang", source: str = "source")
 
 def filtered(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that all rules keep, in its columns."""
-    return judged(written(measured(docs, text), "measured"), lang, source).where("kept").select(docs.columns)
+    return judged(measured(docs, text), lang, source).where("kept").select(docs.columns)

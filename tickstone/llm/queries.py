@@ -290,4 +290,4 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = quality.measured(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")).drop("text")
-    return quality.judged(written(docs, "measured")).select("doc_id", *quality.MEASURES, "kept", "rule")
+    return quality.judged(docs).select("doc_id", *quality.MEASURES, "kept", "rule")
