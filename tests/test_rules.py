@@ -55,10 +55,10 @@ def busy():
     return out
 
 
-@pytest.mark.parametrize("segment", [1800, 86_400])
-def test_market_events_equal_a_loop(spark, busy, segment):
+@pytest.mark.parametrize("parts", [None, 12])
+def test_market_events_equal_a_loop(spark, busy, parts):
     cfg = alerts.EventConfig(cooldown=900)
-    got = alerts.market_events(spark.createDataFrame(busy, TICK), cfg, segment=segment)
+    got = alerts.market_events(spark.createDataFrame(busy, TICK), cfg, parts=parts)
     assert rows(got, "ticker", "seq", "event_type") == by_hand(busy, cfg)
 
 

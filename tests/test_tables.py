@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from conftest import at, rows
 
-from tickstone.operators import aggregates, filters, joins, partitioning, sentiment, topk
+from tickstone.operators import aggregates, filters, joins, mentions, partitioning, sentiment, topk
 
 
 def test_asof_join(spark):
@@ -19,8 +19,8 @@ def test_asof_join(spark):
         "k string, ts timestamp_ntz, name string",
     )
     want = [("last", 2.0), ("later day", 1.0), ("same", 1.0)]
-    for segment in (3600, 86_400):
-        assert rows(joins.asof_join(events, prices, "k", "ts", "price", segment=segment), "name", "price") == want
+    for parts in (None, 3):
+        assert rows(joins.asof_join(events, prices, "k", "ts", "price", parts=parts), "name", "price") == want
 
 
 def test_mentions_by_every_way(spark):
@@ -40,6 +40,50 @@ def test_mentions_by_every_way(spark):
     assert joins.mention_join(posts, words.limit(0), "id").isEmpty()
 
 
+def test_mentions_with_null_and_repeated_keys(spark):
+    posts = spark.createDataFrame(
+        [(None, "Buy aapl", None, "s", "z"), (None, "tsla!", "x\0y", "s", "z"), (7, "aapl", "é", "s", "z"), (7, "aapl", "é", "s", "z"),
+         (7, "TSLA", "", "t", "z"), (8, None, None, "t", "z"), (9, "a", "apl", "t", "z"), (10, "ÉÉ Straße " * 5000, "日本株", "t", "z")],
+        "id int, title string, content string, source string, gram string",
+    )
+    words = ["AAPL", "aapl", "TSLA", "TSLA", None, "", "é", "É", "本株", "straße éé s", "nowhere", "x\0y", "a"]
+    keywords = spark.createDataFrame([(w,) for w in words], "ticker string")
+    want = []
+    for post in posts.collect():
+        texts = [(post.title or "").lower(), (post.content or "").lower()]
+        want += [(*post, w) for w in {w for w in words if w} if any(w.lower() in t for t in texts)]
+    assert rows(joins.mention_join(posts, keywords, "id")) == sorted(want, key=repr)
+    assert len(want) == 24
+
+
+def test_a_short_keyword_leaves_the_candidates_of_long_ones(spark, monkeypatch):
+    """Candidates are pairs that meet on a gram, before the test in full."""
+    met = []
+    real = mentions.settled
+    monkeypatch.setattr(mentions, "settled", lambda df: met.append(real(df)) or met[-1])
+    posts = spark.range(300).selectExpr("id", "concat('post ', id, ' of Company', id % 50) as title", "'a b c' as content")
+    long = spark.range(50).selectExpr("concat('company', id) as ticker")
+    seen = []
+    for words in (long, long.union(spark.range(1).selectExpr("'p'"))):
+        met.clear()
+        found = joins.mention_join(posts, words, "id").where("ticker <> 'p'").count()
+        index = met[-1].where("ticker <> 'p'")
+        seen.append((found, sorted(tuple(r) for r in index.collect())))
+    assert seen[0] == seen[1] and len(seen[0][1]) == 50
+
+
+def test_keywords_are_filed_under_their_rarest_gram(spark, monkeypatch):
+    met = []
+    real = mentions.settled
+    monkeypatch.setattr(mentions, "settled", lambda df: met.append(real(df)) or met[-1])
+    posts = spark.createDataFrame([(i, "abcdefgh" + ("ij" if i == 3 else ""), "") for i in range(20)], "id int, title string, content string")
+    words = spark.createDataFrame([("abcdefghij",), ("abcdefgh",), ("abcdefghx",)], "ticker string")
+    assert rows(joins.mention_join(posts, words, "id"), "ticker", "id") == sorted([("abcdefghij", 3), *(("abcdefgh", i) for i in range(20))], key=repr)
+    hashes = mentions.gram_hashes(mentions._codes(["abcdefghij"])[0], 8).view("int64")
+    index = dict(tuple(r) for r in met[-1].collect())
+    assert index.keys() == {"abcdefghij", "abcdefgh"} and index["abcdefgh"] == hashes[0] and index["abcdefghij"] in hashes[1:]
+
+
 def test_committed_and_failed(spark):
     lines = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d")], "id int, v string")
     done = spark.createDataFrame([(1,), (1,), (3,)], "id int")

@@ -14,7 +14,7 @@ from tickstone.functions import signed_change
 from tickstone.operators.joins import with_threshold
 from tickstone.operators.lineage import settled
 from tickstone.operators.report import direction
-from tickstone.operators.sequence import DAY, cooldown, ewma, previous_value
+from tickstone.operators.sequence import cooldown, ewma, previous_value
 
 # Weights of the old average and the new value, and the message texts.
 BASELINE_KEEP, BASELINE_GAIN = 0.7, 0.3
@@ -44,7 +44,7 @@ def baselines(
     ts: str = "ts",
     tie: str = "seq",
     history: DataFrame | None = None,
-    segment: int = DAY,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add the moving price and volume baselines a tick is compared with; NULL on a key's first tick.
 
@@ -54,7 +54,7 @@ def baselines(
         "prev_price": ("price", BASELINE_KEEP, BASELINE_GAIN),
         "prev_volume": ("volume", BASELINE_KEEP, BASELINE_GAIN),
     }
-    return ewma(ticks, key, ts, [tie], columns, "before", history, segment)
+    return ewma(ticks, key, ts, [tie], columns, "before", history, parts)
 
 
 def market_events(
@@ -64,7 +64,7 @@ def market_events(
     ts: str = "ts",
     tie: str = "seq",
     history: DataFrame | None = None,
-    segment: int = DAY,
+    parts: int | None = None,
 ) -> DataFrame:
     """Surge, drop and volume events; at most one per tick, each type with its own cooldown.
 
@@ -74,7 +74,7 @@ def market_events(
     nothing and leave the baselines as they are.
     """
     ticks = ticks.where(F.col("price").isNotNull() & F.col("volume").isNotNull())
-    compared = baselines(ticks, key, ts, tie, history, segment).where(F.col("prev_price").isNotNull())
+    compared = baselines(ticks, key, ts, tie, history, parts).where(F.col("prev_price").isNotNull())
     measured = compared.withColumns(
         {
             "price_change": signed_change("price", "prev_price"),
@@ -92,7 +92,7 @@ def market_events(
     hits = settled(measured.where(surge | drop | volume))
 
     def kept(candidates: DataFrame, kind: str) -> DataFrame:
-        thinned = cooldown(candidates.select(*rows), key, ts, tie, cfg.cooldown, False, segment)
+        thinned = cooldown(candidates.select(*rows), key, ts, tie, cfg.cooldown, False, parts)
         return thinned.withColumn("event_type", F.lit(kind))
 
     # The price rules of one key cool down separately, so both go through one pass under a joint key.
@@ -100,7 +100,7 @@ def market_events(
     priced = hits.where(surge | drop).select(
         F.concat_ws("\u0001", kind, F.col(key).cast("string")).alias("_rule"), *rows, kind.alias("event_type")
     )
-    price_kept = cooldown(priced.select("_rule", ts, tie), "_rule", ts, tie, cfg.cooldown, False, segment)
+    price_kept = cooldown(priced.select("_rule", ts, tie), "_rule", ts, tie, cfg.cooldown, False, parts)
     price_events = priced.join(price_kept, ["_rule", ts, tie], "left_semi").drop("_rule")
     volume_left = hits.where(volume).select(*rows).join(price_events, rows, "left_anti")
     fired = price_events.unionByName(kept(volume_left, "volume_surge"))
@@ -168,10 +168,10 @@ def price_alerts(
     key: str = "ticker",
     ts: str = "ts",
     tie: str = "seq",
-    segment: int = DAY,
+    parts: int | None = None,
 ) -> DataFrame:
     """Ticks whose change reaches the key's threshold.  A key's first tick never alerts."""
-    before = previous_value(ticks, key, ts, [tie], "close", "previous", segment)
+    before = previous_value(ticks, key, ts, [tie], "close", "previous", parts)
     sent = F.col("change_pct") if "change_pct" in ticks.columns else F.lit(0.0)
     changed = before.where(F.col("previous").isNotNull()).withColumn(
         "change_pct", effective_change(F.col("close"), F.col("previous"), sent)
@@ -196,11 +196,11 @@ def dedup_alerts(
     seconds: float = 300,
     ts: str = "timestamp",
     tie: str = "id",
-    segment: int = DAY,
+    parts: int | None = None,
 ) -> DataFrame:
     """Drop an alert if the same type and message (NULL counts as one) was *sent* less than ``seconds`` before."""
     keyed = alerts.withColumn("_alert", F.to_json(F.struct("type", "message")))  # never NULL
-    sent = cooldown(keyed, "_alert", ts, tie, seconds, True, segment)
+    sent = cooldown(keyed, "_alert", ts, tie, seconds, True, parts)
     return keyed.join(sent, ["_alert", ts, tie], "left_semi").drop("_alert")
 
 

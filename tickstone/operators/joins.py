@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickstone.operators.sequence import DAY, carry_forward
+from tickstone.operators import mentions
+from tickstone.operators.sequence import carry_forward
+
 
 def asof_join(
     left: DataFrame,
@@ -16,18 +18,18 @@ def asof_join(
     ts: str,
     value: str,
     tie: str | None = None,
-    segment: int = DAY,
+    parts: int | None = None,
 ) -> DataFrame:
     """Left rows with the last right ``value`` at or before their time; rows without one are dropped.
 
-    Both sides are merged in time order per key instead of joined, cut into time segments so that
+    Both sides are merged in time order per key instead of joined, cut into parts of equal size so that
     a key with very many rows is spread over tasks.  ``tie`` orders right rows of equal time.
     """
     tied = F.col(tie) if tie else F.lit(0)
     prices = right.select(key, ts, F.lit(0).alias("_side"), tied.cast("bigint").alias("_tie"), value)
     events = left.withColumns({"_side": F.lit(1), "_tie": F.lit(0).cast("bigint")})
     merged = events.unionByName(prices, allowMissingColumns=True)
-    filled = carry_forward(merged, key, ts, ["_side", "_tie"], value, "_asof", True, segment, ["_tie"])
+    filled = carry_forward(merged, key, ts, ["_side", "_tie"], value, "_asof", True, parts)
     hits = filled.where((F.col("_side") == 1) & F.col("_asof").isNotNull())
     return hits.drop("_side", "_tie", value).withColumnRenamed("_asof", value)
 
@@ -51,9 +53,6 @@ def drop_failed(df: DataFrame, payments: DataFrame, key: str, failed: str = "sta
     return df.join(payments.where(failed).select(key), key, "left_anti")
 
 
-GRAM = 8
-
-
 def mention_join(
     posts: DataFrame,
     keywords: DataFrame,
@@ -63,17 +62,8 @@ def mention_join(
 ) -> DataFrame:
     """Every (post, keyword) pair where the keyword occurs in one of the texts, ignoring case.
 
-    The distinct character sequences of each post meet the beginnings of the keywords in an equi-join, and the pairs
-    that share one are tested in full.  The shortest keyword decides how long a sequence is, up to ``GRAM``.
-    Posts with a NULL key are found too; posts of one key are each tested.
+    Posts are told apart by their texts, so ``key`` may be NULL or repeat; see :mod:`tickstone.operators.mentions`.
     """
-    words = keywords.select(F.col(keyword).cast("string").alias(keyword)).where(F.length(keyword) > 0).distinct()
-    lower_word = F.lower(keyword)
-    shortest = words.agg(F.least(F.min(F.length(lower_word)), F.lit(GRAM))).first()[0] or GRAM
-    lowered = [F.lower(F.coalesce(F.col(t), F.lit(""))) for t in texts]
-    grams = [F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{shortest}}}))"), F.lit(1)) for t in lowered]
-    sequences = posts.select(F.col(key).alias("_key"), F.explode(F.array_distinct(F.concat(*grams))).alias("_gram"))
-    indexed = words.select(keyword, F.substring(lower_word, 1, shortest).alias("_gram"))
-    candidates = sequences.join(indexed, "_gram").select("_key", keyword).distinct()
-    hit = F.exists(F.array(*lowered), lambda text: F.contains(text, lower_word))
-    return posts.join(candidates, posts[key].eqNullSafe(candidates["_key"])).where(hit).drop("_key")
+    if key not in posts.columns:
+        raise ValueError(f"posts have no column {key}")
+    return mentions.mention_join(posts, keywords, keyword, texts)

@@ -120,13 +120,13 @@ def macd(
         lined = lined.withColumn("macd_signal", F.avg("macd").over(_last(signal, key)))
     elif kind == "ema":
 
-        def weighted(column: str, span: int) -> tuple[str, float, float]:
+        def weighted(column: str | tuple[str, str], span: int) -> tuple:
             return column, 1 - 2 / (span + 1), 2 / (span + 1)
 
         averages = {"_fast": weighted("close", fast), "_slow": weighted("close", slow)}
-        lined = ewma(df, key, "date", [], averages, segment=None)
+        averages["macd_signal"] = weighted(("_fast", "_slow"), signal)
+        lined = ewma(df, key, "date", [], averages, bounded=True)
         lined = lined.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
-        lined = ewma(lined, key, "date", [], {"macd_signal": weighted("macd", signal)}, segment=None)
     else:
         raise ValueError("kind must be 'sma' or 'ema'")
     return lined.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))

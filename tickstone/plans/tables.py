@@ -66,14 +66,18 @@ def mentions(spark, sf_dir):
     "mentions_indexed",
     f"""
     WITH {POSTS_SQL},
-    words AS (SELECT DISTINCT regexp_extract(text, '[A-Za-z]{{8,}}') AS ticker FROM benchmark)
+    words AS (SELECT DISTINCT unnest([regexp_extract(text, '[A-Za-z]{{8,}}'), regexp_extract(text, '[A-Za-z]+'),
+                              substr(regexp_extract(text, '[A-Za-z]+'), 1, 1)]) AS ticker FROM benchmark)
     SELECT doc_id, ticker FROM posts, words
     WHERE ticker <> '' AND (contains(lower(title), lower(ticker)) OR contains(lower(content), lower(ticker)))
     """,
 )
 def mentions_indexed(spark, sf_dir):
-    """The same pairs; there is one way for any number of keywords."""
-    found = joins.mention_join(posts(spark, sf_dir), keywords(spark, sf_dir), "doc_id")
+    """Keywords of any length, single letters among them."""
+    first = F.regexp_extract("text", "[A-Za-z]+", 0)
+    words = F.array(F.regexp_extract("text", "[A-Za-z]{8,}", 0), first, F.substring(first, 1, 1))
+    listed = table(spark, sf_dir, "benchmark").select(F.explode(words).alias("ticker"))
+    found = joins.mention_join(posts(spark, sf_dir), listed, "doc_id")
     return found.select("doc_id", "ticker")
 
 
