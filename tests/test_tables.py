@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from conftest import at, rows
 
+from tickstone.functions import bloom
 from tickstone.operators import aggregates, filters, joins, mentions, partitioning, sentiment, topk
 
 
@@ -72,6 +73,20 @@ def test_a_short_keyword_leaves_the_candidates_of_long_ones(spark, monkeypatch):
     assert seen[0] == seen[1] and len(seen[0][1]) == 50
 
 
+def test_bloom_filters_find_what_they_hold(spark, monkeypatch):
+    rng = bloom.np.random.default_rng(4)
+    own, other = (rng.integers(-(2**63), 2**63, 3000) for _ in range(2))
+    df = spark.createDataFrame([(int(h),) for h in own], "h long")
+    few = bloom.Bloom.of(df, "h")
+    monkeypatch.setattr(bloom, "FEW", 10)
+    for built in (few, bloom.Bloom.of(df, "h")):
+        assert built.has(own.view("uint64")).all() and built.has(other.view("uint64")).mean() < 0.05
+    assert (built.words == few.words).all()
+    full = bloom.Bloom.of(df, "h", most_bits=1 << 10)
+    assert full.has(own.view("uint64")).all() and full.words.size == 16
+    assert not bloom.Bloom.of(df.limit(0), "h").has(own.view("uint64")).any()
+
+
 def test_keywords_are_filed_under_their_rarest_gram(spark, monkeypatch):
     met = []
     real = mentions.settled

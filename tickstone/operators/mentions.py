@@ -24,18 +24,18 @@ from tickstone.functions.bloom import Bloom, mixed
 from tickstone.operators.lineage import settled
 
 LENGTHS = (1, 2, 4, 8)
-SLICE = 2 << 20  # bytes of text looked at together
+SLICE = 1 << 18  # bytes of text looked at together, so that their hashes stay in the processor's cache
 
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_STEP = np.full(1, 0x9E3779B97F4A7C15, dtype=np.uint64)  # an array, whose products wrap without a warning
 _GAP = "\0"  # between texts; a gram across a gap is a candidate that fails the test
 
 
 def gram_hashes(codes: np.ndarray, length: int) -> np.ndarray:
-    """Hashes of all runs of ``length`` characters; the one at ``i`` starts there."""
-    n = max(codes.size - length + 1, 0)
-    out = np.full(n, length, dtype=np.uint64)
-    for i in range(length):
-        out = out * _STEP + codes[i : n + i]
+    """Hashes of all runs of ``length`` characters, a power of two; the one at ``i`` starts there."""
+    out, step, size = codes + np.uint64(length << 32), _STEP, 1
+    while size < length:  # two runs side by side make one of twice the length
+        out = out[:-size] * step + out[size:] if out.size > size else out[:0]
+        step, size = step * step, 2 * size
     return mixed(out)
 
 
@@ -97,18 +97,19 @@ def mention_join(
     """
     words = keywords.select(F.col(keyword).cast("string").alias(keyword)).where(F.length(keyword) > 0).distinct()
     grams = settled(_keyword_grams(words.withColumn("_lower", F.lower(keyword)), keyword))
-    lengths = sorted(r[0] for r in grams.select("length").distinct().collect())  # at most four
+    sizes = dict(tuple(r) for r in grams.groupBy("length").count().collect())  # at most four
+    lengths = sorted(sizes)
     lowered = [F.lower(F.coalesce(F.col(t), F.lit(""))) for t in texts]
     named = posts.withColumn("_text", F.xxhash64(*lowered))
     read = named.select("_text", F.concat_ws(_GAP, *lowered).alias("_all"))
     if not lengths:
         return posts.withColumn(keyword, F.lit(None).cast("string")).limit(0)
-    held = _hits(read, Bloom.of(grams.select("gram").distinct(), "gram"), lengths)
+    held = _hits(read, Bloom.of(grams, "gram", sum(sizes.values())), lengths)
     counts = held.groupBy("gram").agg(F.count("*").alias("n"))
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("g")
     index = grams.join(counts, "gram", "left").groupBy(keyword).agg(rarest)
     index = settled(index.where("g.n > 0").select(keyword, F.col("g.gram").alias("gram")))
-    found = _hits(read, Bloom.of(index.select("gram").distinct(), "gram"), lengths)
+    found = _hits(read, Bloom.of(index, "gram"), lengths)
     candidates = found.join(index, "gram").select(F.col("text").alias("_text"), keyword).distinct()
     hit = F.exists(F.array(*lowered), lambda text: F.contains(text, F.lower(keyword)))
     return named.join(candidates, "_text").where(hit).drop("_text")
