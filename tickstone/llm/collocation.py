@@ -39,7 +39,7 @@ SHARE = 0.1  # of the documents in the sample
 TOP = 2000
 INSIDE = 50  # percent of a phrase's occurrences in one longer candidate that drop it
 MOST_BITS = 1 << 28
-SLICE = 8 << 20  # bytes of text counted at once
+SLICE = 4 << 20  # bytes of text counted at once
 SALTS = 32  # parts of the phrases, ranked before the languages
 
 _BREAK = b"."
@@ -130,8 +130,9 @@ class Opened:
 
 def slice_counts(lang: str, texts: list[bytes], words: bool, pairs: Opened, triples: Opened) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
     """(size, phrases, counts) of one language's texts; size 0 is the count of all words."""
-    text = _BREAK.join(texts).translate(_PLAIN).replace(_BREAK, b" . ")
-    found = pa.array([*text.split(), _BREAK], pa.binary()).dictionary_encode()
+    found = _BREAK.join(texts).translate(_PLAIN).replace(_BREAK, b" . ").split()
+    found.append(_BREAK)
+    found = pa.array(found, pa.binary()).dictionary_encode()
     codes, known = found.indices.to_numpy().astype(np.int64), found.dictionary
     n_known, stop = len(known), int(codes[-1])
     if words:
