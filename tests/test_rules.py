@@ -1,6 +1,7 @@
 """Price, volume and alert rules: edge cases, a plain loop as reference, and stream = batch."""
 
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -161,8 +162,29 @@ def test_market_events_stream_equals_batch(spark, busy, tmp_path):
 def test_market_events_stream_seeds_from_history(spark, busy, tmp_path):
     df = spark.createDataFrame(busy[:300], TICK)
     history = spark.createDataFrame([("HOT", 50.0, 10.0)], "ticker string, prev_price double, prev_volume double")
-    got = drain(market_events_stream(in_batches(spark, df, "ts", 2, f"{tmp_path}/in"), history=history), tmp_path)
+    stream = in_batches(spark, df, "ts", 3, f"{tmp_path}/in")
+    found = market_events_stream(stream, history=history, history_path=f"{tmp_path}/history")
+    assert "Join" not in found._jdf.queryExecution().analyzed().toString()  # seeds are rows, not a join
+    got = drain(found, tmp_path)
     assert rows(got, "ticker", "seq", "event_type") == by_hand(busy[:300], alerts.EventConfig(), {"HOT": (50.0, 10.0)})
+    with pytest.raises(ValueError):
+        market_events_stream(stream, history=history)
+
+
+def test_late_alerts_come_out_marked(spark, tmp_path):
+    """In-time and late rows together are the input, and late ones change no state."""
+    second = lambda s: BASE + timedelta(seconds=s)
+    batches = [[("a", "m", second(0), 0), ("a", "n", second(500), 1)], [("a", "m", second(510), 2)], [("a", "m", second(5), 3), ("a", "x", second(600), 4)],
+               [("a", "m", second(700), 5), ("a", "q", second(1), 6), ("a", "m", second(820), 7)]]
+    schema = "type string, message string, timestamp timestamp, id bigint"
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(0.05)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    got = drain(dedup_alerts_stream(stream, 300, watermark="10 seconds", late="late"), tmp_path)
+    assert rows(got, "id", "late") == [(0, False), (1, False), (2, False), (3, True), (4, False), (6, True), (7, False)]
+    with pytest.raises(ValueError):
+        dedup_alerts_stream(stream, 300, late="late")
 
 
 def test_price_alerts_stream_equals_batch(spark, tmp_path):

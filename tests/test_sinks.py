@@ -11,7 +11,7 @@ from tickstone import schemas, sinks
 from tickstone.operators import market
 from tickstone.plans import jobs
 from tickstone.sources import TopicSpec, or_fallback, read_table, read_topic
-from tickstone.streaming import await_any, foreach_batch, read_table_sink, start
+from tickstone.streaming import await_any, foreach_batch, newest_records, read_table_sink, start, update_sink
 
 BASE = datetime(2024, 1, 1, 12)
 
@@ -104,6 +104,62 @@ def test_upsert_versions(spark, tmp_path):
     assert rows(read_version(spark, path, "counts", latest_version(spark, path))) == [("a", 1), ("b", 9), ("c", 3)]
 
 
+def test_finding_the_newest_manifest_takes_two_folders(spark, tmp_path):
+    from tickstone.sinks.replay import Manifest, newest_manifest
+
+    known = Manifest()
+    for batch in range(1000):
+        known = known.with_batch(batch, {})
+    assert known.ranges == [(0, 999)] and known.with_batch(1005, {}).ranges == [(0, 999), (1005, 1005)]
+    path, files = str(tmp_path), set()
+    for batch in (0, 1, 2, 5, 6):
+        sinks.write_replay_safe({"t": spark.range(batch + 1)}, path, batch, keep=2)
+        files.add(len(list(tmp_path.glob("manifest/*/*.parquet"))))
+    assert files == {1, 2} and newest_manifest(spark, path).ranges == [(0, 2), (5, 6)]
+    assert sorted(p.name for p in tmp_path.glob("t/*")) == ["batch_id=5", "batch_id=6"]  # older ones are gone
+
+
+def test_a_crash_while_the_manifest_is_written_hides_only_that_batch(spark, tmp_path):
+    import shutil
+
+    path = str(tmp_path)
+    for batch in (0, 1):
+        sinks.write_replay_safe({"t": spark.range(1)}, path, batch)
+    newest = max(tmp_path.glob("manifest/slot=*"), key=lambda p: spark.read.parquet(str(p)).first().version)
+    shutil.rmtree(newest)
+    newest.mkdir()
+    assert sinks.read_committed(spark, path, "t").count() == 1
+    sinks.write_replay_safe({"t": spark.range(1)}, path, 1)
+    assert sinks.read_committed(spark, path, "t").count() == 2
+
+
+def test_only_touched_days_are_rewritten(spark, tmp_path):
+    from tickstone.sinks.replay import latest_version, read_version
+
+    path = str(tmp_path)
+    counts = lambda data: spark.createDataFrame([(at(t), "a", n) for t, n in data], "bucket timestamp_ntz, action string, cnt bigint")
+    upsert = lambda batch, data: sinks.upsert_counts(counts(data), path, batch, ["bucket", "action"], part=F.to_date("bucket"))
+    upsert(0, [(f"2024-01-0{d} 10:00", d) for d in (1, 2, 3)])
+    for _ in range(2):
+        upsert(1, [("2024-01-02 10:00", 20), ("2024-01-02 11:00", 21)])
+    assert sorted(p.name for p in tmp_path.glob("counts/batch_id=1/part=*")) == ["part=2024-01-02"]
+    upsert(2, [("2024-01-02 10:00", 200), ("2024-01-09 00:00", 9)])
+    assert sorted(p.name for p in tmp_path.glob("counts/batch_id=2/part=*")) == ["part=2024-01-02", "part=2024-01-09"]
+    assert not list(tmp_path.glob("counts/batch_id=0/part=2024-01-02"))  # replaced twice
+    newest = rows(read_version(spark, path, "counts", latest_version(spark, path)), "bucket", "cnt")
+    want = [("2024-01-01 10:00", 1), ("2024-01-02 10:00", 200), ("2024-01-02 11:00", 21), ("2024-01-03 10:00", 3), ("2024-01-09 00:00", 9)]
+    assert newest == sorted(((at(t), n) for t, n in want), key=repr)
+    assert read_version(spark, path, "counts", 1).count() == 4
+
+
+def test_updates_of_a_topic_repeat_without_harm(spark, tmp_path):
+    sink = update_sink(["k"], "parquet", {"path": f"{tmp_path}/topic"})
+    first, second = (spark.createDataFrame(d, "k string, n bigint") for d in ([("a", 1), ("b", 1)], [("a", 5)]))
+    for batch, batch_id in ((first, 0), (second, 1), (second, 1), (first, 0)):
+        sink(batch, batch_id)
+    assert rows(newest_records(spark.read.parquet(f"{tmp_path}/topic"), "k STRING, n BIGINT")) == [("a", 5), ("b", 1)]
+
+
 def tick(i, ticker="A", close=10.0, **more):
     day = (datetime(2024, 1, 1, 9) + timedelta(days=i)).strftime("%Y-%m-%d %H:%M:%S")
     return {"ticker": ticker, "timestamp": day, "open": close, "high": close, "low": close, "close": close, "volume": 10, **more}
@@ -177,8 +233,18 @@ def test_device_job(spark, tmp_path):
         {"timestamp": (BASE + timedelta(seconds=s)).isoformat(), "value": v, "device_id": "d1", "status": "Normal"}
         for s, v in values
     ]
-    root = f"{tmp_path}/root"
-    finish(jobs.device_job(stream(spark, tmp_path, records), root, ("parquet", {"path": f"{root}/alerts"})))
+    root, seen = f"{tmp_path}/root", spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = stream(spark, tmp_path, records)
+    read = source.mapInArrow(count, source.schema)
+    finish(jobs.device_job(read, root, ("parquet", {"path": f"{root}/alerts"})))
+    assert seen.value == len(records)  # each record is read and parsed once, for all outputs
+    assert rows(read_table_sink(spark, f"{root}/device_status", "device_status")) == [("d1", "Normal", 61)]
     assert rows(read_table_sink(spark, f"{root}/status_counts", "status_counts")) == [("Normal", 61)]
     assert spark.read.parquet(f"{root}/anomalies").where("is_anomaly").count() == 3
     alerts = spark.read.parquet(f"{root}/alerts")
@@ -231,6 +297,7 @@ def test_feed_and_notify_jobs(spark, tmp_path):
     finish([jobs.notify_job(stream(spark, again, alerts), f"{again}/root")])
     sent = spark.read.parquet(f"{again}/root/notifications")
     assert rows(sent, "message", "severity_class") == [("m", "critical"), ("n", "info")]
+    assert spark.read.parquet(f"{again}/root/late_alerts").isEmpty()
 
 
 def test_price_alert_job(spark, tmp_path):

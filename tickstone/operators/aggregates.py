@@ -112,3 +112,45 @@ def suspicious_users(
     df = watermarked(df, ts, watermark)
     counted = distinct_per_window(df, ts, key, page, size, slide, approx, "distinct_page_count")
     return counted.where(F.col("distinct_page_count") >= min_pages)
+
+
+def suspicious_candidates(
+    df: DataFrame,
+    ts: str = "event_timestamp",
+    key: str = "user_id",
+    page: str = "page_url",
+    size: str = "30 seconds",
+    slide: str | None = "10 seconds",
+    min_pages: int = SUSPICIOUS_PAGES,
+    watermark: str | None = "30 seconds",
+) -> DataFrame:
+    """Windows and users of a stream that may be suspicious, for update mode: a distinct sketch of fixed size per group.
+
+    A sketch of so few values errs by collisions of single values; half the wanted number leaves room for that.  Whoever
+    has fewer rows than ``min_pages`` cannot have as many pages.
+    """
+    df = watermarked(df, ts, watermark)
+    counted = df.groupBy(F.window(ts, size, slide).alias("window"), key)
+    counted = counted.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(page).alias("about"))
+    return counted.where((F.col("rows") >= min_pages) & (2 * F.col("about") >= min_pages)).select("window", key)
+
+
+def suspicious_exactly(
+    df: DataFrame,
+    candidates: DataFrame,
+    ts: str = "event_timestamp",
+    key: str = "user_id",
+    page: str = "page_url",
+    size: str = "30 seconds",
+    slide: str | None = "10 seconds",
+    min_pages: int = SUSPICIOUS_PAGES,
+) -> DataFrame:
+    """:func:`suspicious_users` of stored rows for the (window, key) ``candidates`` only, however often each is listed.
+
+    Rows of other keys are left out before any window is formed.
+    """
+    named = candidates.select("window", key).distinct()
+    rows = df.join(named.select(key).distinct(), key, "left_semi")
+    windowed = rows.select(F.window(ts, size, slide).alias("window"), key, page).distinct()
+    counted = windowed.join(named, ["window", key]).groupBy("window", key).agg(F.count(page).alias("distinct_page_count"))
+    return counted.where(F.col("distinct_page_count") >= min_pages)

@@ -176,7 +176,11 @@ def detect_anomalies(
 
     In a window of n rows no value can be further out than ``(n - 1) / sqrt(n)`` deviations.
     """
-    stats = window_stats(df, ts, [key], value, size, slide, watermark=watermark)
+    return score_windows(window_stats(df, ts, [key], value, size, slide, watermark=watermark), value, sigma)
+
+
+def score_windows(stats: DataFrame, value: str = "value", sigma: float = 2.0) -> DataFrame:
+    """The scores of :func:`detect_anomalies` for windows with all statistics."""
     flat = flatten_window(stats, iso=False)
     avg, low, high = F.col(f"avg_{value}"), F.col(f"min_{value}"), F.col(f"max_{value}")
     spread = F.coalesce(F.nullif(F.col(f"stddev_{value}"), F.lit(0.0)), F.lit(SIGMA_FLOOR))

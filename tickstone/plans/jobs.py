@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tickstone import schemas
 from tickstone.operators import aggregates, alerts, filters, market, parse, report, sentiment, topk, windows
 from tickstone.sinks import save, write_jdbc, write_replay_safe, write_topic
-from tickstone.sources import TopicSpec, read_table, read_topic
+from tickstone.sinks.replay import make_folder
+from tickstone.sources import TopicSpec, read_table, read_topic, stream_files
 from tickstone.streaming import (
     dedup_alerts_stream,
     foreach_batch,
@@ -115,30 +116,46 @@ def device_readings(records: DataFrame) -> DataFrame:
 def device_job(records: DataFrame, root: str, alert_topic: tuple[str, dict]) -> list[StreamingQuery]:
     """Status counts, window statistics and anomaly alerts of one stream of device records.
 
-    ``root`` holds the checkpoints and outputs; ``alert_topic`` is (format, options).  The counts
-    are tables replaced as a whole; windows are appended once they are final, so that their state
+    ``root`` holds the checkpoints and outputs; ``alert_topic`` is (format, options).  The topic is read and parsed once, into
+    ``root``/readings; the other queries read what they need of these rows.  Outputs that share a window and a key come from one
+    aggregate.  The counts are tables replaced as a whole; windows are written once they are final, so that their state
     stays bounded.
     """
-    readings = device_readings(records)
+    spark = records.sparkSession
+    parsed = device_readings(records)
+    make_folder(spark, f"{root}/readings")
+    readings = stream_files(spark, f"{root}/readings", parsed.schema)
     keys = ["device_id"]
+    stats = windows.window_stats(readings, "event_time", keys, "value", "30 seconds", "10 seconds", watermark="1 minute")
     tumbling = windows.tumbling(readings, "event_time", keys, "value", watermark="1 minute")
-    sliding = windows.sliding(readings, "event_time", keys, "value", watermark="1 minute")
     averages = windows.sliding(
         readings, "event_time", keys, "value", "10 seconds", "5 seconds", ("avg", "count"), "10 seconds"
     )
-    anomalies = windows.detect_anomalies(readings)
-    raised = parse.with_processing_time(windows.anomaly_alerts(anomalies), "alert_time")
     fmt, options = alert_topic
+
+    def write_stats(batch: DataFrame, batch_id: int) -> None:
+        anomalies = windows.score_windows(batch)
+        raised = parse.with_processing_time(windows.anomaly_alerts(anomalies), "alert_time")
+        sliding = batch.select("window", "device_id", "avg_value", "stddev_value")
+        for name, rows in {"sliding": sliding, "anomalies": anomalies}.items():
+            rows.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+        write_topic(raised, "device_id", fmt, options)
+
+    def write_counts(batch: DataFrame, batch_id: int) -> None:
+        by_status = batch.groupBy("status").agg(F.sum("count").alias("count"))
+        tables = {"device_status": batch, "status_counts": by_status.orderBy(F.desc("count"), "status")}
+        for name, rows in tables.items():
+            write_replay_safe({name: rows}, f"{root}/{name}", batch_id, keep=2)
+
+    counts = aggregates.count_by(readings, ["device_id", "status"])
+    each = lambda df, write, mode, name: start(df, foreach_batch(write, flat=False), mode, f"{root}/checkpoint/{name}", name)
     return [
-        _to_table(aggregates.count_by(readings, ["status"]), root, "status_counts"),
-        _to_table(aggregates.count_by(readings, ["device_id", "status"]), root, "device_status"),
+        _to_files(parsed, root, "readings"),
+        each(counts, write_counts, "complete", "status"),
+        each(stats, write_stats, "append", "windows"),
         _to_files(windows.hourly(readings, "event_time", "status", "1 minute"), root, "hourly"),
-        _to_files(anomalies, root, "anomalies"),
-        _to_files(readings, root, "readings"),
         _to_files(averages, root, "averages"),
         _to_files(tumbling, root, "tumbling"),
-        _to_files(sliding, root, "sliding"),
-        start(parse.to_topic(raised, "device_id"), fmt, "append", f"{root}/checkpoint/alerts", "alerts", options),
     ]
 
 
@@ -195,7 +212,7 @@ def feed_job(
     stored = prices.select("ticker", F.col("ts").alias("timestamp"), "price", "volume")
     unknown = parse.decode_envelope(routed["unknown"]).select("value")
     rejected = parsed.where(~usable).select("value").unionByName(unknown)
-    events = market_events_stream(prices, cfg, tie="offset", history=history)
+    events = market_events_stream(prices, cfg, tie="offset", history=history, history_path=f"{root}/history")
 
     def write_prices(batch: DataFrame, batch_id: int) -> None:
         rows = {"events": alerts.event_data(batch), "alerts": alerts.market_event_alerts(batch)}
@@ -232,15 +249,21 @@ def price_alert_job(records: DataFrame, thresholds: DataFrame, root: str, defaul
 def notify_job(records: DataFrame, root: str, seconds: float = 300, late: str = "1 hour") -> StreamingQuery:
     """Alerts without repeats, labelled for delivery, to ``root``/notifications.
 
-    Alerts that come more than ``late`` after newer ones are not sent.
+    Alerts that come more than ``late`` after newer ones can no longer be compared with those sent; they go to
+    ``root``/late_alerts, labelled alike, each one that came.
     """
     received = records.withColumnRenamed("timestamp", "_received")
     parsed = parse.parse_topic(received, schemas.ALERT, keep=("offset", "_received"))
     stamp = F.coalesce(F.try_to_timestamp("timestamp"), F.col("_received"))
     timed = parsed.withColumn("timestamp", stamp).drop("_received")
     filled = parse.fill_missing(timed, {"type": report.ALERT_TYPE, "message": report.ALERT_MESSAGE})
-    unique = dedup_alerts_stream(filled, seconds, tie="offset", watermark=late)
-    return _to_files(report.alert_labels(unique), root, "notifications")
+    unique = dedup_alerts_stream(filled, seconds, tie="offset", watermark=late, late="late")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for name, rows in {"notifications": batch.where(~F.col("late")), "late_alerts": batch.where("late")}.items():
+            rows.drop("late").write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+
+    return start(report.alert_labels(unique), foreach_batch(write), "append", f"{root}/checkpoint/notifications", "notifications")
 
 
 def triggered(records: DataFrame, call, root: str) -> StreamingQuery:

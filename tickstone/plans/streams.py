@@ -9,13 +9,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickstone.operators import aggregates, alerts, parse, topk, windows
-from tickstone.plans.inputs import CLICKS_SQL, EVENT_RECORD, cents_of, envelope, payload_number, table
+from tickstone.plans.inputs import CLICKS_SQL, EVENT_RECORD, cents_of, clicks, envelope, payload_number, table
 from tickstone.plans.registry import REGISTRY, query
-from tickstone.plans.rules import EVENTS
+from tickstone.plans.rules import EVENTS, SEEDED_EVENTS_SQL, purchase_averages, shown_price_alerts
 from tickstone.plans.scratch import work_dir
 from tickstone.plans.timewindows import CLICK_WINDOWS
 from tickstone.sources import stream_files
-from tickstone.streaming import dedup_alerts_stream, market_events_stream, price_alerts_stream, start
+from tickstone.streaming import (
+    dedup_alerts_stream,
+    market_events_stream,
+    newest_records,
+    price_alerts_stream,
+    start,
+    update_sink,
+)
 
 
 def _events(spark, sf_dir) -> DataFrame:
@@ -25,16 +32,28 @@ def _events(spark, sf_dir) -> DataFrame:
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _readings(spark, sf_dir) -> DataFrame:
-    return _events(spark, sf_dir).select(
+def _events_in_batches(spark, sf_dir, batches: int = 4) -> DataFrame:
+    """The events as a stream of several micro-batches, oldest first."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    path = work_dir(spark, "batches")
+    at = F.unix_micros("ts")
+    edges = events.agg(F.percentile_approx(at, [i / batches for i in range(1, batches)])).first()[0]
+    for low, high in zip([None, *edges], [*edges, None], strict=True):
+        own = (F.lit(True) if low is None else at > low) & (F.lit(True) if high is None else at <= high)
+        events.where(own).coalesce(1).write.mode("append").parquet(path)
+    return stream_files(spark, path, events.schema, max_files=1)
+
+
+def _readings(spark, sf_dir, events=None) -> DataFrame:
+    return (events or _events)(spark, sf_dir).select(
         F.col("ts").alias("event_time"),
         F.col("event_type").alias("device_id"),
         cents_of("value").alias("value"),
     )
 
 
-def _clicks(spark, sf_dir) -> DataFrame:
-    return _events(spark, sf_dir).select(
+def _clicks(spark, sf_dir, events=None) -> DataFrame:
+    return (events or _events)(spark, sf_dir).select(
         F.col("ts").alias("click_time"),
         F.concat(F.lit("U"), "user_id").alias("user_id"),
         F.concat(F.lit("/p/"), payload_number()).alias("page_url"),
@@ -134,6 +153,52 @@ def stream_suspicious_users(spark, sf_dir):
     return _drain(_flat(found), "append", "suspicious")
 
 
+@query("stream_suspicious_users_all", REGISTRY["suspicious_users"].sql)
+def stream_suspicious_users_all(spark, sf_dir):
+    """All windows, the newest too: candidates of a sketch in update mode, counted exactly from the stored clicks."""
+    size = {"size": "1 day", "slide": "6 hours"}
+    found = aggregates.suspicious_candidates(_clicks(spark, sf_dir, _events_in_batches), "click_time", **size)
+    root = work_dir(spark, "candidates")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+
+    start(found, sink, "update", f"{root}/checkpoint", available_now=True).awaitTermination()
+    candidates = spark.read.schema(found.schema).parquet(f"{root}/out")
+    stored = clicks(spark, sf_dir).withColumn("click_time", F.col("click_time").cast("timestamp"))
+    users = _flat(aggregates.suspicious_exactly(stored, candidates, "click_time", **size))
+    return users.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@query("stream_sliding_updates", REGISTRY["sliding"].sql)
+def stream_sliding_updates(spark, sf_dir):
+    """Update mode into a topic with nested window keys, of which the newest records are read."""
+    stats = windows.sliding(
+        _readings(spark, sf_dir, _events_in_batches), "event_time", ["device_id"], "value", "1 day", "6 hours", watermark="1 minute"
+    )
+    root = work_dir(spark, "updates")
+    sink = update_sink(["window", "device_id"], "parquet", {"path": f"{root}/topic"})
+    start(stats, sink, "update", f"{root}/checkpoint", available_now=True).awaitTermination()
+    schema = "window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, device_id STRING, avg_value DOUBLE, stddev_value DOUBLE"
+    newest = _flat(newest_records(spark.read.parquet(f"{root}/topic"), schema))
+    return newest.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@query("stream_seeded_market_events", SEEDED_EVENTS_SQL)
+def stream_seeded_market_events(spark, sf_dir):
+    """Stored averages set the first baselines of a stream of several micro-batches."""
+    ticks = _events_in_batches(spark, sf_dir).select(
+        F.concat(F.lit("U"), "user_id").alias("ticker"),
+        "ts",
+        F.col("value").alias("price"),
+        payload_number().alias("volume"),
+        F.col("event_id").alias("seq"),
+    )
+    history = purchase_averages(spark, sf_dir)
+    found = market_events_stream(ticks, EVENTS, history=history, history_path=work_dir(spark, "history")).drop("previous")
+    return _drain(found.withColumn("change_pct", F.round("change_pct", 6)), "append", "seeded")
+
+
 @query("stream_market_events", REGISTRY["market_events"].sql)
 def stream_market_events(spark, sf_dir):
     ticks = _events(spark, sf_dir).select(
@@ -156,7 +221,7 @@ def stream_price_alerts(spark, sf_dir):
     own = table(spark, sf_dir, "customer").where("c_acctbal > 3000")
     own = own.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").cast("double").alias("threshold"))
     found = price_alerts_stream(ticks, own, key="user_id", tie="event_id")
-    return _drain(found.withColumn("change_pct", F.round("change_pct", 6)).drop("message"), "append", "price-alerts")
+    return _drain(shown_price_alerts(found), "append", "price-alerts")
 
 
 @query("stream_dedup_alerts", REGISTRY["dedup_alerts"].sql)

@@ -145,6 +145,24 @@ def distinct_approx(spark, sf_dir):
     )
 
 
+@query(
+    "distinct_within_bound",
+    f"""
+    WITH {CLICKS_SQL}, {CLICK_WINDOWS}
+    SELECT window_start, window_end, user_id, count(DISTINCT page_url) AS distinct_count, TRUE AS within_bound FROM spread GROUP BY ALL
+    """,
+)
+def distinct_within_bound(spark, sf_dir):
+    """The approximate count beside the exact one, within four standard errors (5 % each) and one."""
+    count = lambda approx: _flat(
+        aggregates.distinct_per_window(clicks(spark, sf_dir), "click_time", "user_id", "page_url", "1 day", "6 hours", approx=approx)
+    )
+    exact, about = count(False), count(True).withColumnRenamed("distinct_count", "about")
+    both = exact.join(about, ["window_start", "window_end", "user_id"])
+    within = F.abs(F.col("about") - F.col("distinct_count")) <= 0.2 * F.col("distinct_count") + 1
+    return both.select("window_start", "window_end", "user_id", "distinct_count", within.alias("within_bound"))
+
+
 SUSPICIOUS_SQL = f"""
     WITH {CLICKS_SQL}, {CLICK_WINDOWS}
     SELECT window_start, window_end, user_id, count(DISTINCT page_url) AS distinct_page_count

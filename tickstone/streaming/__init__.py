@@ -1,4 +1,4 @@
-from tickstone.streaming.run import await_any, foreach_batch, read_table_sink, start, table_sink
+from tickstone.streaming.run import await_any, foreach_batch, newest_records, read_table_sink, start, table_sink, update_sink
 from tickstone.streaming.stateful import dedup_alerts_stream, market_events_stream, price_alerts_stream
 
 __all__ = [
@@ -6,8 +6,10 @@ __all__ = [
     "dedup_alerts_stream",
     "foreach_batch",
     "market_events_stream",
+    "newest_records",
     "price_alerts_stream",
     "read_table_sink",
     "start",
     "table_sink",
+    "update_sink",
 ]

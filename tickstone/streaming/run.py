@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickstone.operators.parse import flatten_window
+from tickstone.operators.parse import flatten_window, to_topic
 from tickstone.sinks.replay import latest_version, read_version, write_replay_safe
 
 MODES = ("append", "update", "complete")
@@ -47,8 +48,8 @@ def start(
     return writer.format(sink).start()
 
 
-def foreach_batch(write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """Micro-batch sink that flattens windows to ISO text and skips empty batches.
+def foreach_batch(write: Callable[[DataFrame, int], None], flat: bool = True) -> Callable[[DataFrame, int], None]:
+    """Micro-batch sink that flattens windows to ISO text (unless ``flat`` is off) and skips empty batches.
 
     ``write`` gets a DataFrame and must accept a batch twice.  The batch is kept while it runs, so that state is
     read and rows are scored once, however many outputs it writes.
@@ -58,7 +59,7 @@ def foreach_batch(write: Callable[[DataFrame, int], None]) -> Callable[[DataFram
         batch.persist()
         try:
             if not batch.isEmpty():
-                write(flatten_window(batch) if "window" in batch.columns else batch, batch_id)
+                write(flatten_window(batch) if flat and "window" in batch.columns else batch, batch_id)
         finally:
             batch.unpersist()
 
@@ -69,15 +70,43 @@ def table_sink(root: str, name: str) -> Callable[[DataFrame, int], None]:
     """Sink for complete mode: a queryable table on shared storage.
 
     Every micro-batch writes the whole result as a new committed version; :func:`read_table_sink`
-    reads the newest.  Unlike the ``memory`` format nothing passes through the driver.
+    reads the newest, and the one before stays for readers under way.  Unlike the ``memory`` format nothing passes
+    through the driver.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_replay_safe({name: batch}, root, batch_id)
+        write_replay_safe({name: batch}, root, batch_id, keep=2)
 
     return sink
 
 
+VERSION = "version"
+
+
+def update_sink(keys: Sequence[str], fmt: str, options: Mapping[str, str]) -> Callable[[DataFrame, int], None]:
+    """Sink for update mode: a topic in which the last record of a key holds.
+
+    A record's key is the JSON of ``keys``, nested windows included; its value is the JSON of all columns and ``version``, the
+    number of the micro-batch.  A micro-batch that is written again repeats its records, which changes nothing for
+    :func:`newest_records`.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn(VERSION, F.lit(batch_id).cast("bigint"))
+        records = to_topic(rows, F.to_json(F.struct(*keys)))
+        records.write.format(fmt).options(**options).mode("append").save()
+
+    return sink
+
+
+def newest_records(records: DataFrame, schema: str) -> DataFrame:
+    """The newest value of each key of such a topic as columns; ``schema`` describes the value without its version."""
+    value = F.from_json(F.col("value").cast("string"), f"{schema}, {VERSION} BIGINT").alias("v")
+    parsed = records.select(F.col("key").cast("string").alias("key"), value)
+    newest = parsed.groupBy("key").agg(F.max_by("v", f"v.{VERSION}").alias("v"))
+    return newest.select("v.*").drop(VERSION)
+
+
 def read_table_sink(spark: SparkSession, root: str, name: str) -> DataFrame:
     version = latest_version(spark, root)
     if version is None:

@@ -41,34 +41,46 @@ def market_events_stream(
     ts: str = "ts",
     tie: str = "seq",
     history: DataFrame | None = None,
+    history_path: str | None = None,
 ) -> DataFrame:
     """:func:`tickstone.operators.alerts.market_events` on a stream.
 
-    ``history`` (key, prev_price, prev_volume) is a static frame that seeds a key's baselines.
+    ``history`` (key, prev_price, prev_volume), a static frame, gives keys their first baselines.  It is stored at
+    ``history_path``, unless rows are there already, and comes in as rows of the first micro-batch: the state operator gets
+    each row once, and no later micro-batch joins or reads the history.
     """
     wait = int(cfg.cooldown * 1_000_000)
     known = ticks.where(F.col("price").isNotNull() & F.col("volume").isNotNull())  # others raise and change nothing
-    rows = known.select(key, ts, tie, "price", "volume", micros(ts).alias("_us"))
+    rows = known.select(key, ts, tie, "price", "volume", micros(ts).alias("_us"), F.lit(False).alias("_seed"))
     if history is not None:
-        seeds = history.select(key, F.col("prev_price").alias("_price"), F.col("prev_volume").alias("_volume"))
-        rows = rows.join(seeds, key, "left")
-    else:
-        rows = rows.withColumns({c: F.lit(None).cast("double") for c in ("_price", "_volume")})
+        if history_path is None:
+            raise ValueError("a history needs a path on shared storage")
+        given = history.where(F.col("prev_price").isNotNull() & F.col("prev_volume").isNotNull())
+        given = given.select(key, F.col("prev_price").alias("price"), F.col("prev_volume").alias("volume"))
+        given.write.mode("ignore").parquet(history_path)
+        seeds = ticks.sparkSession.readStream.schema(given.schema).parquet(history_path)
+        nothing = {c: F.lit(None).cast(rows.schema[c].dataType) for c in (ts, tie, "_us")}
+        seeds = seeds.withColumns({**nothing, "_seed": F.lit(True)})
+        rows = rows.unionByName(seeds)
 
     def step(group: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = _in_order(pdfs, tie)
+        pdf = pd.concat(list(pdfs), ignore_index=True)
+        pdf = pd.concat([pdf[pdf["_seed"]], pdf[~pdf["_seed"]].sort_values(["_us", tie], kind="stable")])
         out = []
-        known = state.exists
+        known, ticked, last = state.exists, False, [None, None, None]
         if known:
-            base, base_volume, *last = state.get
-        for at, seq, price, volume, us, seed, seed_volume in zip(
-            pdf[ts], pdf[tie], pdf["price"], pdf["volume"], pdf["_us"], pdf["_price"], pdf["_volume"], strict=True
+            base, base_volume, *last, ticked = state.get
+        for at, seq, price, volume, us, seed in zip(
+            pdf[ts], pdf[tie], pdf["price"], pdf["volume"], pdf["_us"], pdf["_seed"], strict=True
         ):
-            if not known:  # a key's first tick only sets the baselines
-                base = price if pd.isna(seed) else seed
-                base_volume = volume if pd.isna(seed_volume) else seed_volume
-                last = [None, None, None]
-                known = True
+            if seed:
+                if not known:
+                    base, base_volume, known = price, volume, True
+                continue
+            if not ticked:  # a key's first tick only sets baselines that no history has set
+                if not known:
+                    base, base_volume, known = price, volume, True
+                ticked = True
                 continue
             if base:
                 change = (price - base) / base * 100
@@ -85,7 +97,7 @@ def market_events_stream(
                         break
             base = BASELINE_KEEP * base + BASELINE_GAIN * price
             base_volume = BASELINE_KEEP * base_volume + BASELINE_GAIN * volume
-        state.update((float(base), float(base_volume), *[None if v is None else int(v) for v in last]))
+        state.update((float(base), float(base_volume), *[None if v is None else int(v) for v in last], ticked))
         if out:
             yield pd.DataFrame(out, columns=[key, ts, tie, "event_type", "current", "previous", "change_pct"])
 
@@ -93,7 +105,7 @@ def market_events_stream(
         step,
         f"`{key}` {_type(rows, key)}, `{ts}` {_type(rows, ts)}, `{tie}` {_type(rows, tie)}, "
         "event_type string, current double, previous double, change_pct double",
-        "price double, volume double, surge bigint, drop bigint, volume_surge bigint",
+        "price double, volume double, surge bigint, drop bigint, volume_surge bigint, ticked boolean",
         "append",
         GroupStateTimeout.NoTimeout,
     )
@@ -146,39 +158,58 @@ def dedup_alerts_stream(
     ts: str = "timestamp",
     tie: str = "id",
     watermark: str | None = None,
+    late: str | None = None,
 ) -> DataFrame:
     """:func:`tickstone.operators.alerts.dedup_alerts` on a stream.
 
-    With a ``watermark`` delay the state of an alert is dropped once it can no longer matter.
+    With a ``watermark`` delay the state of an alert is dropped once it can no longer matter, and rows older than the
+    watermark are left out.  ``late`` names a column that is added then: such rows come out too, marked true, and
+    leave the state as it is.
     """
+    if late and not watermark:
+        raise ValueError("late rows need a watermark")
     wait = int(seconds * 1_000_000)
     rows = alerts.withColumns({"_alert": F.to_json(F.struct("type", "message")), "_us": micros(ts)})
     if watermark:
         rows = rows.withWatermark(ts, watermark)
     columns = list(alerts.columns)
+    # Event-time timeouts make Spark drop late rows before the function sees them.  To keep them, a state is looked at after
+    # as much processing time, and dropped if the watermark has passed it by then.
+    pause = wait // 1000 + 1
+
+    def expire(state: GroupState) -> None:
+        if state.getCurrentWatermarkMs() * 1000 >= state.get[0] + wait:
+            state.remove()
+        else:
+            state.setTimeoutDuration(pause)
 
     def step(group: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            state.remove()
+            expire(state) if late else state.remove()
             return
         pdf = _in_order(pdfs, tie)
         last = state.get[0] if state.exists else None
-        keep = []
+        keep, is_late = [], []
+        oldest = state.getCurrentWatermarkMs() * 1000 if late else None
         for us in pdf["_us"]:
-            send = last is None or us - last >= wait
+            is_late.append(late is not None and us < oldest)
+            send = not is_late[-1] and (last is None or us - last >= wait)
             if send:
                 last = int(us)
-            keep.append(send)
-        state.update((last,))
-        if watermark:
-            state.setTimeoutTimestamp(max((last + wait) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+            keep.append(send or is_late[-1])
+        if last is not None:
+            state.update((last,))
+            if late:
+                state.setTimeoutDuration(pause)
+            elif watermark:
+                state.setTimeoutTimestamp(max((last + wait) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        if late:
+            pdf[late] = is_late
         if any(keep):
-            yield pdf[keep][columns]
+            yield pdf[keep][[*columns, late] if late else columns]
 
+    fields = [f"`{c}` {_type(alerts, c)}" for c in columns] + ([f"`{late}` boolean"] if late else [])
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if late else GroupStateTimeout.EventTimeTimeout
     return rows.groupBy("_alert").applyInPandasWithState(
-        step,
-        ", ".join(f"`{c}` {_type(alerts, c)}" for c in columns),
-        "sent bigint",
-        "append",
-        GroupStateTimeout.EventTimeTimeout if watermark else GroupStateTimeout.NoTimeout,
+        step, ", ".join(fields), "sent bigint", "append", timeout if watermark else GroupStateTimeout.NoTimeout
     )
