@@ -8,7 +8,7 @@ import pytest
 from conftest import at, rows
 
 from tickstone.operators import alerts
-from tickstone.streaming import dedup_alerts_stream, market_events_stream, price_alerts_stream, start
+from tickstone.streaming import dedup_alerts_stream, late_split, market_events_stream, price_alerts_stream, start
 
 BASE = datetime(2024, 1, 1)
 TICK = "ticker string, ts timestamp, seq bigint, price double, volume bigint"
@@ -171,8 +171,7 @@ def test_market_events_stream_seeds_from_history(spark, busy, tmp_path):
         market_events_stream(stream, history=history)
 
 
-def test_late_alerts_come_out_marked(spark, tmp_path):
-    """In-time and late rows together are the input, and late ones change no state."""
+def test_in_time_and_late_rows_are_the_input(spark, tmp_path):
     second = lambda s: BASE + timedelta(seconds=s)
     batches = [[("a", "m", second(0), 0), ("a", "n", second(500), 1)], [("a", "m", second(510), 2)], [("a", "m", second(5), 3), ("a", "x", second(600), 4)],
                [("a", "m", second(700), 5), ("a", "q", second(1), 6), ("a", "m", second(820), 7)]]
@@ -181,10 +180,15 @@ def test_late_alerts_come_out_marked(spark, tmp_path):
         spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         time.sleep(0.05)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    got = drain(dedup_alerts_stream(stream, 300, watermark="10 seconds", late="late"), tmp_path)
-    assert rows(got, "id", "late") == [(0, False), (1, False), (2, False), (3, True), (4, False), (6, True), (7, False)]
-    with pytest.raises(ValueError):
-        dedup_alerts_stream(stream, 300, late="late")
+    sink = late_split(str(tmp_path), "timestamp", "10 seconds")
+    start(stream, sink, "append", f"{tmp_path}/ck1", available_now=True).awaitTermination()
+    late = rows(spark.read.schema(schema).parquet(f"{tmp_path}/late"), "id")
+    assert late == [(3,), (6,)]
+    sink(spark.read.parquet(f"{tmp_path}/in").where("id in (5, 6, 7)"), 3)  # the last micro-batch again
+    assert rows(spark.read.schema(schema).parquet(f"{tmp_path}/late"), "id") == late
+    staged = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in_time")
+    sent = drain(dedup_alerts_stream(staged, 300, watermark="10 seconds"), tmp_path)
+    assert rows(sent, "id") == [(0,), (1,), (2,), (4,), (7,)]
 
 
 def test_price_alerts_stream_equals_batch(spark, tmp_path):

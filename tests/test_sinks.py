@@ -294,10 +294,10 @@ def test_feed_and_notify_jobs(spark, tmp_path):
     again = tmp_path / "notify"
     again.mkdir()
     alerts = [{"type": "price_drop", "message": "m", "severity": "high"}] * 3 + [{"message": "n"}]
-    finish([jobs.notify_job(stream(spark, again, alerts), f"{again}/root")])
+    finish(jobs.notify_job(stream(spark, again, alerts), f"{again}/root"))
     sent = spark.read.parquet(f"{again}/root/notifications")
     assert rows(sent, "message", "severity_class") == [("m", "critical"), ("n", "info")]
-    assert spark.read.parquet(f"{again}/root/late_alerts").isEmpty()
+    assert spark.read.parquet(f"{again}/root/late_alerts").isEmpty() and spark.read.parquet(f"{again}/root/alerts_in_time").count() == 4
 
 
 def test_price_alert_job(spark, tmp_path):

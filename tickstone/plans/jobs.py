@@ -16,10 +16,11 @@ from tickstone import schemas
 from tickstone.operators import aggregates, alerts, filters, market, parse, report, sentiment, topk, windows
 from tickstone.sinks import save, write_jdbc, write_replay_safe, write_topic
 from tickstone.sinks.replay import make_folder
-from tickstone.sources import TopicSpec, read_table, read_topic, stream_files
+from tickstone.sources import TopicSpec, read_table, read_topic
 from tickstone.streaming import (
     dedup_alerts_stream,
     foreach_batch,
+    late_split,
     market_events_stream,
     price_alerts_stream,
     start,
@@ -124,7 +125,7 @@ def device_job(records: DataFrame, root: str, alert_topic: tuple[str, dict]) ->
     spark = records.sparkSession
     parsed = device_readings(records)
     make_folder(spark, f"{root}/readings")
-    readings = stream_files(spark, f"{root}/readings", parsed.schema)
+    readings = spark.readStream.schema(parsed.schema).parquet(f"{root}/readings")
     keys = ["device_id"]
     stats = windows.window_stats(readings, "event_time", keys, "value", "30 seconds", "10 seconds", watermark="1 minute")
     tumbling = windows.tumbling(readings, "event_time", keys, "value", watermark="1 minute")
@@ -143,11 +144,12 @@ def device_job(records: DataFrame, root: str, alert_topic: tuple[str, dict]) ->
 
     def write_counts(batch: DataFrame, batch_id: int) -> None:
         by_status = batch.groupBy("status").agg(F.sum("count").alias("count"))
-        tables = {"device_status": batch, "status_counts": by_status.orderBy(F.desc("count"), "status")}
+        by_device = batch.orderBy("device_id", F.desc("count"), "status")
+        tables = {"device_status": by_device, "status_counts": by_status.orderBy(F.desc("count"), "status")}
         for name, rows in tables.items():
             write_replay_safe({name: rows}, f"{root}/{name}", batch_id, keep=2)
 
-    counts = aggregates.count_by(readings, ["device_id", "status"])
+    counts = aggregates.count_by(readings, ["device_id", "status"], ordered=False)
     each = lambda df, write, mode, name: start(df, foreach_batch(write, flat=False), mode, f"{root}/checkpoint/{name}", name)
     return [
         _to_files(parsed, root, "readings"),
@@ -246,24 +248,25 @@ def price_alert_job(records: DataFrame, thresholds: DataFrame, root: str, defaul
     return _to_files(price_alerts_stream(ticks, thresholds, default, tie="offset"), root, "price_alerts")
 
 
-def notify_job(records: DataFrame, root: str, seconds: float = 300, late: str = "1 hour") -> StreamingQuery:
+def notify_job(records: DataFrame, root: str, seconds: float = 300, late: str = "1 hour") -> list[StreamingQuery]:
     """Alerts without repeats, labelled for delivery, to ``root``/notifications.
 
-    Alerts that come more than ``late`` after newer ones can no longer be compared with those sent; they go to
-    ``root``/late_alerts, labelled alike, each one that came.
+    Alerts that come more than ``late`` after newer ones can no longer be compared with those sent; they are kept in
+    ``root``/late_alerts, each one that came.
     """
     received = records.withColumnRenamed("timestamp", "_received")
     parsed = parse.parse_topic(received, schemas.ALERT, keep=("offset", "_received"))
     stamp = F.coalesce(F.try_to_timestamp("timestamp"), F.col("_received"))
     timed = parsed.withColumn("timestamp", stamp).drop("_received")
     filled = parse.fill_missing(timed, {"type": report.ALERT_TYPE, "message": report.ALERT_MESSAGE})
-    unique = dedup_alerts_stream(filled, seconds, tie="offset", watermark=late, late="late")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        for name, rows in {"notifications": batch.where(~F.col("late")), "late_alerts": batch.where("late")}.items():
-            rows.drop("late").write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
-
-    return start(report.alert_labels(unique), foreach_batch(write), "append", f"{root}/checkpoint/notifications", "notifications")
+    make_folder(records.sparkSession, f"{root}/alerts_in_time")
+    split = start(
+        filled, late_split(root, "timestamp", late, "alerts_in_time", "late_alerts"), "append", f"{root}/checkpoint/split", "split"
+    )
+    in_time = records.sparkSession.readStream.schema(filled.schema).option("recursiveFileLookup", "true")
+    in_time = in_time.parquet(f"{root}/alerts_in_time")
+    unique = dedup_alerts_stream(in_time, seconds, tie="offset", watermark=late)
+    return [split, _to_files(report.alert_labels(unique), root, "notifications")]
 
 
 def triggered(records: DataFrame, call, root: str) -> StreamingQuery:

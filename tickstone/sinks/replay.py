@@ -73,7 +73,8 @@ def make_folder(spark: SparkSession, path: str) -> None:
     storage.mkdirs(target)
 
 
-def _commit(spark: SparkSession, path: str, batch_id: int, parts: Mapping[str, int] = {}) -> None:
+def commit(spark: SparkSession, path: str, batch_id: int, parts: Mapping[str, int] = {}) -> None:
+    """Add a batch to the newest manifest, unless it is there already."""
     known = newest_manifest(spark, path)
     if known.version >= batch_id:  # an earlier attempt got here
         return
@@ -93,7 +94,7 @@ def write_replay_safe(outputs: Mapping[str, DataFrame], path: str, batch_id: int
     for name, frame in outputs.items():
         frame.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
     before = newest_manifest(spark, path)
-    _commit(spark, path, batch_id)
+    commit(spark, path, batch_id)
     if keep is not None and before.version < batch_id:
         ids = [i for low, high in reversed(before.ranges[-keep - 1 :]) for i in range(high, max(low, high - keep) - 1, -1)]
         for old in ids[keep - 1 : keep]:  # one goes for each that comes
@@ -159,7 +160,7 @@ def upsert_counts(
         merged = merge_counts(old, new, [*keys, "part"], value)
     merged.write.mode("overwrite").partitionBy("part").parquet(f"{root}/batch_id={batch_id}")
     held = manifests(spark, path)
-    _commit(spark, path, batch_id, {p: batch_id for p in touched})
+    commit(spark, path, batch_id, {p: batch_id for p in touched})
     needed = {pair for m in [*held[:1], newest_manifest(spark, path)] for pair in m.parts.items()}
     for m in held[1:]:  # what only the manifest just replaced still named
         for p, batch in set(m.parts.items()) - needed:

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tickstone.functions import micros
 from tickstone.operators.parse import flatten_window, to_topic
-from tickstone.sinks.replay import latest_version, read_version, write_replay_safe
+from tickstone.operators.windows import duration
+from tickstone.sinks.replay import commit, latest_version, manifests, read_version, write_replay_safe
 
 MODES = ("append", "update", "complete")
 
@@ -80,6 +82,33 @@ def table_sink(root: str, name: str) -> Callable[[DataFrame, int], None]:
     return sink
 
 
+def late_split(root: str, ts: str, delay: str, name: str = "in_time", late: str = "late") -> Callable[[DataFrame, int], None]:
+    """Sink that parts each micro-batch into rows in time and late ones, under ``root``; together they are the input.
+
+    A row is late if it is more than ``delay`` older than the newest row of the micro-batches before.  That is what a
+    watermark of this delay would drop; a stream over ``root``/``name`` with such a watermark drops nothing, because its
+    watermark is never ahead.  The newest time is kept with the commit, so a micro-batch that runs again is split alike.
+    """
+    width = int(duration(delay).total_seconds() * 1_000_000)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = next((m for m in manifests(spark, f"{root}/{name}-marks") if m.version < batch_id), None)
+        high = earlier.parts.get("high") if earlier else None
+        batch.persist()
+        try:
+            is_late = F.coalesce(micros(ts) < F.lit(high - width), F.lit(False)) if high is not None else F.lit(False)
+            for part, rows in ((name, batch.where(~is_late)), (late, batch.where(is_late))):
+                rows.write.mode("overwrite").parquet(f"{root}/{part}/batch_id={batch_id}")
+            newest = batch.agg(F.max(micros(ts))).first()[0]
+        finally:
+            batch.unpersist()
+        marks = [m for m in (high, newest) if m is not None]
+        commit(spark, f"{root}/{name}-marks", batch_id, {"high": max(marks)} if marks else {})
+
+    return sink
+
+
 VERSION = "version"
 
 

@@ -158,58 +158,39 @@ def dedup_alerts_stream(
     ts: str = "timestamp",
     tie: str = "id",
     watermark: str | None = None,
-    late: str | None = None,
 ) -> DataFrame:
     """:func:`tickstone.operators.alerts.dedup_alerts` on a stream.
 
-    With a ``watermark`` delay the state of an alert is dropped once it can no longer matter, and rows older than the
-    watermark are left out.  ``late`` names a column that is added then: such rows come out too, marked true, and
-    leave the state as it is.
+    With a ``watermark`` delay the state of an alert is dropped once it can no longer matter.
     """
-    if late and not watermark:
-        raise ValueError("late rows need a watermark")
     wait = int(seconds * 1_000_000)
     rows = alerts.withColumns({"_alert": F.to_json(F.struct("type", "message")), "_us": micros(ts)})
     if watermark:
         rows = rows.withWatermark(ts, watermark)
     columns = list(alerts.columns)
-    # Event-time timeouts make Spark drop late rows before the function sees them.  To keep them, a state is looked at after
-    # as much processing time, and dropped if the watermark has passed it by then.
-    pause = wait // 1000 + 1
-
-    def expire(state: GroupState) -> None:
-        if state.getCurrentWatermarkMs() * 1000 >= state.get[0] + wait:
-            state.remove()
-        else:
-            state.setTimeoutDuration(pause)
 
     def step(group: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            expire(state) if late else state.remove()
+            state.remove()
             return
         pdf = _in_order(pdfs, tie)
         last = state.get[0] if state.exists else None
-        keep, is_late = [], []
-        oldest = state.getCurrentWatermarkMs() * 1000 if late else None
+        keep = []
         for us in pdf["_us"]:
-            is_late.append(late is not None and us < oldest)
-            send = not is_late[-1] and (last is None or us - last >= wait)
+            send = last is None or us - last >= wait
             if send:
                 last = int(us)
-            keep.append(send or is_late[-1])
-        if last is not None:
-            state.update((last,))
-            if late:
-                state.setTimeoutDuration(pause)
-            elif watermark:
-                state.setTimeoutTimestamp(max((last + wait) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        if late:
-            pdf[late] = is_late
+            keep.append(send)
+        state.update((last,))
+        if watermark:
+            state.setTimeoutTimestamp(max((last + wait) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         if any(keep):
-            yield pdf[keep][[*columns, late] if late else columns]
+            yield pdf[keep][columns]
 
-    fields = [f"`{c}` {_type(alerts, c)}" for c in columns] + ([f"`{late}` boolean"] if late else [])
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if late else GroupStateTimeout.EventTimeTimeout
     return rows.groupBy("_alert").applyInPandasWithState(
-        step, ", ".join(fields), "sent bigint", "append", timeout if watermark else GroupStateTimeout.NoTimeout
+        step,
+        ", ".join(f"`{c}` {_type(alerts, c)}" for c in columns),
+        "sent bigint",
+        "append",
+        GroupStateTimeout.EventTimeTimeout if watermark else GroupStateTimeout.NoTimeout,
     )
