@@ -65,6 +65,18 @@ def may_match(docs: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
     return docs.withColumn("_bit", _bit(column)).mapInArrow(keep, docs.schema)
 
 
+BYTES_A_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Bound the bytes that go to a Python worker at once, unless the session has a bound.
+
+    Without it, a batch has ten thousand rows, however long their texts are.
+    """
+    if BYTES_A_BATCH not in spark.conf.getAll:
+        spark.conf.set(BYTES_A_BATCH, size)
+
+
 def lowered(text: Column) -> Column:
     """``text`` with A-Z, and nothing else, in lower case."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
