@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickstone.llm import containment, jaccard, lines, mixing, toxicity
-from tickstone.llm.common import n_words, table, written
+from tickstone.llm.common import n_words, small_batches, table, written
 from tickstone.llm.queries import labelled
 
 TOXIC = 0.7
@@ -24,6 +24,7 @@ ORACLE_SQL = None
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = toxicity.fit(labelled(docs, table(spark, sf_dir, "labels")))
     scored = toxicity.score(docs, model, column="_toxicity")
     return scored.where(F.col("_toxicity") < TOXIC).drop("_toxicity")
@@ -37,10 +38,12 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return containment.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
