@@ -18,7 +18,8 @@ HEADLINE = [
     "daily_ohlcv", "moving_averages", "macd_ema", "market_summary", "report_alerts", "parse_json", "asof_price",
     "mentions", "committed_only", "recent_baseline", "order_rollup", "order_lines", "window_stats", "anomalies",
     "distinct_exact", "top_per_window", "ewma", "market_events", "price_alerts", "dedup_alerts", "sentiment",
-    "stream_tumbling", "stream_anomalies", "stream_market_events",
+    "stream_tumbling", "stream_anomalies", "stream_market_events", "rsi", "crossovers", "suspicious_users", "thresholds",
+    "sentiment_in_context", "mentions_indexed",
 ]
 
 
