@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 
+import numpy as np
 import pytest
 from conftest import at, rows
 
@@ -24,6 +25,21 @@ def test_asof_join(spark):
         assert rows(joins.asof_join(events, prices, "k", "ts", "price", parts=parts), "name", "price") == want
 
 
+def test_mention_grams_are_made_distinct_and_texts_lowered_once(spark):
+    rng = np.random.default_rng(1)
+    hashes, starts = rng.integers(0, 9, 500).astype(np.uint64) + np.uint64(1 << 63), np.array([0, 0, 100, 420])
+    at = np.flatnonzero(hashes % np.uint64(2) == 0)
+    got = mentions._distinct(hashes, at, starts)
+    assert sorted(zip(*(x.tolist() for x in got), strict=True)) == sorted({(int(np.searchsorted(starts, i, side="right")) - 1, int(hashes[i])) for i in at})
+    assert all(x.size == 0 for x in mentions._distinct(hashes, at[:0], starts))
+    posts = spark.createDataFrame([(1, "Buy AAPL", None)], "id bigint, title string, content string")
+    found = joins.mention_join(posts, spark.createDataFrame([("aapl",)], "ticker string"), "id")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    tests = [line for line in plan.splitlines() if "exists(" in line.lower()]
+    assert tests and not any("lower(title" in line or "coalesce(title" in line for line in tests)
+    assert rows(found) == [(1, "Buy AAPL", None, "aapl")]
+
+
 def test_mentions_by_every_way(spark):
     posts = spark.createDataFrame(
         [(1, "Buy aapl now", "and TSLA"), (2, "nothing", None), (3, "x", "brk.b rises"), (4, "TS", "LA"), (5, None, "é tsLa")],

@@ -46,6 +46,14 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, starts
 
 
+def _distinct(hashes: np.ndarray, at: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different (row, hash) pairs of the hashes ``at`` places; a pair is sorted as one number, row and rank of the hash."""
+    grams, rank = np.unique(hashes[at], return_inverse=True)
+    rows = np.searchsorted(starts, at, side="right") - 1
+    rows, rank = np.divmod(np.unique(rows * max(1, grams.size) + rank), max(1, grams.size))
+    return rows, grams[rank]
+
+
 def _length(word: Column) -> Column:
     size = F.length(word)
     return F.lit(LENGTHS[0]) if len(LENGTHS) == 1 else F.greatest(*[F.when(size >= n, n).otherwise(LENGTHS[0]) for n in LENGTHS])
@@ -76,10 +84,8 @@ def _hits(texts: DataFrame, wanted: Bloom, lengths: Sequence[int]) -> DataFrame:
             names = batch["_text"].to_numpy()
             for length in lengths:
                 hashes = gram_hashes(codes, length)
-                at = np.flatnonzero(wanted.has(hashes))
-                rows = np.searchsorted(starts, at, side="right") - 1
-                pairs = np.unique(np.stack([rows, hashes[at].view(np.int64)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(names[pairs[0]]), pa.array(pairs[1])], ["text", "gram"])
+                rows, grams = _distinct(hashes, np.flatnonzero(wanted.has(hashes)), starts)
+                yield pa.RecordBatch.from_arrays([pa.array(names[rows]), pa.array(grams.view(np.int64))], ["text", "gram"])
 
     return texts.mapInArrow(hits, "text bigint, gram bigint")
 
@@ -100,7 +106,8 @@ def mention_join(
     sizes = dict(tuple(r) for r in grams.groupBy("length").count().collect())  # at most four
     lengths = sorted(sizes)
     lowered = [F.lower(F.coalesce(F.col(t), F.lit(""))) for t in texts]
-    named = posts.withColumn("_text", F.xxhash64(*lowered))
+    # lower-cased before the join, once a post: the test after it reads them for every candidate
+    named = posts.withColumns({"_text": F.xxhash64(*lowered), "_lowered": F.array(*lowered)})
     read = named.select("_text", F.concat_ws(_GAP, *lowered).alias("_all"))
     if not lengths:
         return posts.withColumn(keyword, F.lit(None).cast("string")).limit(0)
@@ -111,5 +118,5 @@ def mention_join(
     index = settled(index.where("g.n > 0").select(keyword, F.col("g.gram").alias("gram")))
     found = _hits(read, Bloom.of(index, "gram"), lengths)
     candidates = found.join(index, "gram").select(F.col("text").alias("_text"), keyword).distinct()
-    hit = F.exists(F.array(*lowered), lambda text: F.contains(text, F.lower(keyword)))
-    return named.join(candidates, "_text").where(hit).drop("_text")
+    hit = F.exists("_lowered", lambda text: F.contains(text, F.lower(keyword)))
+    return named.join(candidates, "_text").where(hit).drop("_text", "_lowered")
