@@ -9,6 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tickstone.operators import aggregates, parse, topk, windows
+from tickstone.plans import streams
 from tickstone.streaming import start
 
 BASE = datetime(2024, 1, 1)
@@ -138,3 +139,39 @@ def test_start_checks_its_arguments(spark, tmp_path):
         start(stream, "parquet", "append")
     with pytest.raises(ValueError):
         start(stream, "memory", "sometimes")
+
+
+def test_micro_batches_of_several_files_stay_in_order(spark, tmp_path):
+    rng = random.Random(5)
+    # a third of the rows at one time, so that a batch is uneven
+    data = [(i, BASE + timedelta(seconds=5000 if i % 3 == 0 else rng.randrange(10_000)), i % 7, "view", float(i), '{"k": 1}') for i in range(1200)]
+    data += [(2000, BASE + timedelta(seconds=9_990), 1, "view", 1.0, None)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/events.parquet")
+    seen = {}
+
+    def sink(batch, batch_id):
+        row = batch.agg(F.min("ts"), F.max("ts"), F.count("*"), F.countDistinct("file")).first()
+        seen[batch_id] = tuple(row)
+
+    events = streams._events_in_batches(spark, str(tmp_path), rows_a_file=10).withColumn("file", F.input_file_name())
+    start(events, sink, "append", f"{tmp_path}/ck", available_now=True).awaitTermination()
+    parts = [seen[i] for i in sorted(seen)]
+    assert len(parts) == 4 and sum(p[2] for p in parts) == 1201
+    assert all(a[1] < b[0] for a, b in zip(parts, parts[1:], strict=False))
+    assert max(p[3] for p in parts) > 10  # many files, which many tasks read
+
+
+def test_suspicious_candidates_have_all_suspicious_users(spark):
+    rng = random.Random(7)
+    data = [(BASE + timedelta(seconds=rng.randrange(60)), f"u{u}", None if rng.random() < 0.1 else f"/p/{rng.randrange(n)}") for u, n in enumerate((2, 4, 5, 6, 30, 300, 3000)) for _ in range(40 * n if n < 300 else 900)]
+    df = spark.createDataFrame(data, "event_timestamp timestamp, user_id string, page_url string")
+    for least in (1, 5, 20, 250):
+        exact = aggregates.suspicious_users(df, min_pages=least, watermark=None)
+        named = aggregates.suspicious_candidates(df, min_pages=least, watermark=None)
+        assert exact.join(named, ["window", "user_id"], "left_anti").isEmpty()
+        assert rows(aggregates.suspicious_exactly(df, named, min_pages=least)) == rows(exact)
+    one = df.where("user_id = 'u0'")  # two pages, opened often
+    assert aggregates.suspicious_candidates(one, min_pages=20, watermark=None).isEmpty()
+    assert "hyperloglog" not in aggregates.suspicious_candidates(df)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "approx_count" not in aggregates.suspicious_candidates(df)._jdf.queryExecution().optimizedPlan().toString()

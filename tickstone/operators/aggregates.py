@@ -95,6 +95,7 @@ def distinct_per_window(
 
 # Fixed value: distinct pages from which a user counts as suspicious.
 SUSPICIOUS_PAGES = 5
+SKETCH_BITS = 128
 
 
 def suspicious_users(
@@ -126,13 +127,19 @@ def suspicious_candidates(
 ) -> DataFrame:
     """Windows and users of a stream that may be suspicious, for update mode: a distinct sketch of fixed size per group.
 
-    A sketch of so few values errs by collisions of single values; half the wanted number leaves room for that.  Whoever
+    The sketch is a bitmap of ``SKETCH_BITS`` hashed pages in whole numbers, so a group is three numbers of state.  It errs by
+    collisions; a third of the wanted number leaves room for them, and a full bitmap is always taken.  Whoever
     has fewer rows than ``min_pages`` cannot have as many pages.
     """
-    df = watermarked(df, ts, watermark)
-    counted = df.groupBy(F.window(ts, size, slide).alias("window"), key)
-    counted = counted.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(page).alias("about"))
-    return counted.where((F.col("rows") >= min_pages) & (2 * F.col("about") >= min_pages)).select("window", key)
+    df = watermarked(df, ts, watermark).withColumn("_bit", F.pmod(F.xxhash64(page), F.lit(SKETCH_BITS)).cast("int"))
+    words = range(SKETCH_BITS // 64)
+    own = lambda i: F.col(page).isNotNull() & (F.shiftright("_bit", 6) == i)
+    bits = [F.bit_or(F.when(own(i), F.expr("shiftleft(1L, _bit % 64)")).otherwise(F.lit(0).cast("long"))).alias(f"_bits{i}") for i in words]
+    counted = df.groupBy(F.window(ts, size, slide).alias("window"), key).agg(F.count(F.lit(1)).alias("rows"), *bits)
+    clear = SKETCH_BITS - sum(F.bit_count(f"_bits{i}") for i in words)
+    about = -SKETCH_BITS * F.log(clear / SKETCH_BITS)
+    may = (F.col("rows") >= min_pages) & ((clear == 0) | (3 * about >= min_pages))
+    return counted.where(may).select("window", key)
 
 
 def suspicious_exactly(

@@ -32,16 +32,29 @@ def _events(spark, sf_dir) -> DataFrame:
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _events_in_batches(spark, sf_dir, batches: int = 4) -> DataFrame:
-    """The events as a stream of several micro-batches, oldest first."""
+ROWS_A_FILE = 200_000
+
+
+def _events_in_batches(spark, sf_dir, batches: int = 4, rows_a_file: int = ROWS_A_FILE) -> DataFrame:
+    """The events as a stream of several micro-batches, oldest first.
+
+    Each micro-batch has the same number of files, so that large ones are written and read by many tasks.  Empty partitions leave
+    no file; an uneven batch is filled up with empty files.
+    """
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     path = work_dir(spark, "batches")
     at = F.unix_micros("ts")
-    edges = events.agg(F.percentile_approx(at, [i / batches for i in range(1, batches)])).first()[0]
-    for low, high in zip([None, *edges], [*edges, None], strict=True):
+    quantiles = F.percentile_approx(at, [i / batches for i in range(1, batches)])
+    edges, n = events.agg(quantiles, F.count("*")).first()
+    files = max(1, n // (batches * rows_a_file))
+    for i, (low, high) in enumerate(zip([None, *edges], [*edges, None], strict=True)):
         own = (F.lit(True) if low is None else at > low) & (F.lit(True) if high is None else at <= high)
-        events.where(own).coalesce(1).write.mode("append").parquet(path)
-    return stream_files(spark, path, events.schema, max_files=1)
+        rows = events.where(own)
+        rows = rows.coalesce(1) if files == 1 else rows.repartition(files)
+        rows.write.mode("append").parquet(path)
+        for _ in range(len(spark.read.schema(events.schema).parquet(path).inputFiles()), files * (i + 1)):
+            events.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return stream_files(spark, path, events.schema, max_files=files)
 
 
 def _readings(spark, sf_dir, events=None) -> DataFrame:
