@@ -171,6 +171,22 @@ def test_market_events_stream_seeds_from_history(spark, busy, tmp_path):
         market_events_stream(stream, history=history)
 
 
+def test_market_events_stream_keeps_keys_together_in_buckets(spark, tmp_path):
+    rng = random.Random(3)
+    data = [(None if k == 0 else f"K{k}", BASE + timedelta(minutes=10 * s), 40 * s + k, float(rng.randint(90, 110)), rng.randint(1, 9)) for s in range(12) for k in range(40)]
+    df = spark.createDataFrame(data, TICK)
+    history = spark.createDataFrame([("K1", 50.0, 10.0), ("K99", 1.0, 1.0), (None, 20.0, 5.0)], "ticker string, prev_price double, prev_volume double")
+    stream = in_batches(spark, df, "ts", 3, f"{tmp_path}/in")
+    found = market_events_stream(stream, history=history, history_path=f"{tmp_path}/history", buckets=4)
+    query = start(found, "parquet", "append", f"{tmp_path}/ck", options={"path": f"{tmp_path}/out"}, available_now=True)
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 5  # not one for each of 41 keys; NULL has its own
+    got = rows(spark.read.schema(found.schema).parquet(f"{tmp_path}/out"), "ticker", "seq", "event_type")
+    named = [(k or "", *x) for k, *x in data]
+    want = by_hand(named, alerts.EventConfig(), {"K1": (50.0, 10.0), "K99": (1.0, 1.0), "": (20.0, 5.0)})
+    assert sorted((k or "", *x) for k, *x in got) == sorted(want) and want
+
+
 def test_in_time_and_late_rows_are_the_input(spark, tmp_path):
     second = lambda s: BASE + timedelta(seconds=s)
     batches = [[("a", "m", second(0), 0), ("a", "n", second(500), 1)], [("a", "m", second(510), 2)], [("a", "m", second(5), 3), ("a", "x", second(600), 4)],

@@ -1,6 +1,6 @@
 """The order-dependent rules on keyed state.
 
-State is a few numbers per key and survives restarts in the checkpoint.  The rows of a key within
+State is a few numbers per key (of the market events, those of a bucket of keys together) and survives restarts in the checkpoint.  The rows of a key within
 one micro-batch are put in order of time; across micro-batches the order of arrival counts.  Bound
 the intake per trigger at the source: a key's rows of one micro-batch meet in one task.
 """
@@ -34,6 +34,9 @@ def _type(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
+BUCKETS = 1 << 11
+
+
 def market_events_stream(
     ticks: DataFrame,
     cfg: EventConfig = EventConfig(),
@@ -42,12 +45,16 @@ def market_events_stream(
     tie: str = "seq",
     history: DataFrame | None = None,
     history_path: str | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """:func:`tickstone.operators.alerts.market_events` on a stream.
 
     ``history`` (key, prev_price, prev_volume), a static frame, gives keys their first baselines.  It is stored at
     ``history_path``, unless rows are there already, and comes in as rows of the first micro-batch: the state operator gets
     each row once, and no later micro-batch joins or reads the history.
+
+    Keys are dealt into ``buckets`` by hash, each a group of the state operator that holds its keys' numbers: a group costs
+    Python far more than the few rows of most keys.  The number must stay the same over restarts.
     """
     wait = int(cfg.cooldown * 1_000_000)
     known = ticks.where(F.col("price").isNotNull() & F.col("volume").isNotNull())  # others raise and change nothing
@@ -59,29 +66,33 @@ def market_events_stream(
         given = given.select(key, F.col("prev_price").alias("price"), F.col("prev_volume").alias("volume"))
         given.write.mode("ignore").parquet(history_path)
         seeds = ticks.sparkSession.readStream.schema(given.schema).parquet(history_path)
-        nothing = {c: F.lit(None).cast(rows.schema[c].dataType) for c in (ts, tie, "_us")}
-        seeds = seeds.withColumns({**nothing, "_seed": F.lit(True)})
+        # a tie that is not NULL where there is one, for NULLs would turn a bucket's whole numbers into floating-point ones
+        nothing = {ts: F.lit(None).cast(rows.schema[ts].dataType), tie: F.lit("0").try_cast(rows.schema[tie].dataType)}
+        seeds = seeds.withColumns({**nothing, "_us": F.lit(0).cast("long"), "_seed": F.lit(True)})
         rows = rows.unionByName(seeds)
+    # the NULL key has a bucket of its own, so that no other has a NULL among its keys
+    bucket = F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.hash(key), F.lit(buckets)))
+    rows = rows.withColumns({"_name": F.col(key).cast("string"), "_bucket": bucket})
 
     def step(group: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(pdfs), ignore_index=True)
-        pdf = pd.concat([pdf[pdf["_seed"]], pdf[~pdf["_seed"]].sort_values(["_us", tie], kind="stable")])
         out = []
-        known, ticked, last = state.exists, False, [None, None, None]
-        if known:
-            base, base_volume, *last, ticked = state.get
-        for at, seq, price, volume, us, seed in zip(
-            pdf[ts], pdf[tie], pdf["price"], pdf["volume"], pdf["_us"], pdf["_seed"], strict=True
+        held = {name: numbers for name, *numbers in state.get[0]} if state.exists else {}
+        seeds = pdf[pdf["_seed"]]
+        for name, price, volume in zip(seeds["_name"], seeds["price"].tolist(), seeds["volume"].tolist(), strict=True):
+            held.setdefault(name, [price, volume, None, None, None, False])
+        pdf = pdf[~pdf["_seed"]].sort_values(["_us", tie], kind="stable")
+        for name, own, at, seq, price, volume, us in zip(
+            pdf["_name"], pdf[key], pdf[ts], pdf[tie], pdf["price"].tolist(), pdf["volume"].tolist(), pdf["_us"].tolist(), strict=True
         ):
-            if seed:
-                if not known:
-                    base, base_volume, known = price, volume, True
+            numbers = held.get(name)
+            if numbers is None:
+                held[name] = [price, volume, None, None, None, True]
                 continue
-            if not ticked:  # a key's first tick only sets baselines that no history has set
-                if not known:
-                    base, base_volume, known = price, volume, True
-                ticked = True
+            if not numbers[5]:  # a key's first tick only sets baselines that no history has set
+                numbers[5] = True
                 continue
+            base, base_volume, *last, _ = numbers
             if base:
                 change = (price - base) / base * 100
                 change_volume = (volume - base_volume) / base_volume * 100 if base_volume else 0.0
@@ -92,20 +103,25 @@ def market_events_stream(
                 )
                 for i, (kind, hit, current, previous, percent) in enumerate(rules):
                     if hit and (last[i] is None or us - last[i] > wait):
-                        out.append((group[0], at, seq, kind, float(current), float(previous), float(percent)))
-                        last[i] = us
+                        out.append((own, at, seq, kind, float(current), float(previous), float(percent)))
+                        numbers[2 + i] = us
                         break
-            base = BASELINE_KEEP * base + BASELINE_GAIN * price
-            base_volume = BASELINE_KEEP * base_volume + BASELINE_GAIN * volume
-        state.update((float(base), float(base_volume), *[None if v is None else int(v) for v in last], ticked))
+            numbers[0] = BASELINE_KEEP * base + BASELINE_GAIN * price
+            numbers[1] = BASELINE_KEEP * base_volume + BASELINE_GAIN * volume
+        stored = [
+            (name, float(base), float(base_volume), *[None if v is None else int(v) for v in last], ticked)
+            for name, (base, base_volume, *last, ticked) in held.items()
+        ]
+        state.update((stored,))
         if out:
             yield pd.DataFrame(out, columns=[key, ts, tie, "event_type", "current", "previous", "change_pct"])
 
-    return rows.groupBy(key).applyInPandasWithState(
+    return rows.groupBy("_bucket").applyInPandasWithState(
         step,
         f"`{key}` {_type(rows, key)}, `{ts}` {_type(rows, ts)}, `{tie}` {_type(rows, tie)}, "
         "event_type string, current double, previous double, change_pct double",
-        "price double, volume double, surge bigint, drop bigint, volume_surge bigint, ticked boolean",
+        "held array<struct<name: string, price: double, volume: double, surge: bigint, drop: bigint, volume_surge: bigint, "
+        "ticked: boolean>>",
         "append",
         GroupStateTimeout.NoTimeout,
     )
