@@ -229,3 +229,10 @@ def test_labelers_that_agree_are_trusted():
     counts = [("phone", "21221", 0, 50), ("phone", "12121", 0, 40), ("phone", "02202", 0, 60), ("phone", "22202", 0, 50)]
     known = pii.train(counts)
     assert known["phone|12121|0"] > 0.5 > known["phone|02202|0"]
+
+
+def test_toxicity_workers_remember_few_words():
+    model = toxicity.Model({"bad": (9.0, 2.0)})
+    for i in range(120_000):
+        assert model.values[f"w{i}"] is None
+    assert len(model.values) <= 50_000 and model.values["bad"] == 2.0

@@ -34,8 +34,8 @@ from tickstone.llm.common import written
 
 _TOKEN = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6, 7)
-KNOWN = 500_000  # words whose value a worker remembers before it starts again
-HELD = 300_000  # tokens a task counts before it hands them on
+KNOWN = 50_000  # words whose value a worker remembers before it starts again; a corpus has many that come once
+HELD = 100_000  # tokens a task counts before it hands them on
 BINS_A_UNIT, MOST = 4, 100.0  # evidence is binned for the curve: quarter units up to 100
 
 
