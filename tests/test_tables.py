@@ -32,10 +32,17 @@ def test_mention_grams_are_made_distinct_and_texts_lowered_once(spark):
     got = mentions._distinct(hashes, at, starts)
     assert sorted(zip(*(x.tolist() for x in got), strict=True)) == sorted({(int(np.searchsorted(starts, i, side="right")) - 1, int(hashes[i])) for i in at})
     assert all(x.size == 0 for x in mentions._distinct(hashes, at[:0], starts))
+    for texts in (["abab", "", "\U0010ffffé\0a"], ["", ""], ["x"], [""]):
+        for n in (1, 2):
+            codes, begin = mentions._codes(texts)
+            every = mentions.gram_hashes(codes, n)
+            short = mentions._short_grams(codes, begin, n)
+            where = np.searchsorted(begin, np.arange(every.size), side="right") - 1
+            assert sorted(zip(*(x.tolist() for x in short), strict=True)) == sorted(set(zip(where.tolist(), every.tolist(), strict=True)))
     posts = spark.createDataFrame([(1, "Buy AAPL", None)], "id bigint, title string, content string")
     found = joins.mention_join(posts, spark.createDataFrame([("aapl",)], "ticker string"), "id")
     plan = found._jdf.queryExecution().optimizedPlan().toString()
-    tests = [line for line in plan.splitlines() if "exists(" in line.lower()]
+    tests = [line for line in plan.splitlines() if "contains(" in line.lower()]
     assert tests and not any("lower(title" in line or "coalesce(title" in line for line in tests)
     assert rows(found) == [(1, "Buy AAPL", None, "aapl")]
 

@@ -13,6 +13,7 @@ with the same texts share their candidates.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,19 @@ def _distinct(hashes: np.ndarray, at: np.ndarray, starts: np.ndarray) -> tuple[n
     return rows, grams[rank]
 
 
+def _short_grams(codes: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different (row, hash) pairs of runs of one or two characters, which nearly all repeat: made distinct before they are hashed."""
+    n = max(0, codes.size - length + 1)
+    rows = np.repeat(np.arange(starts.size, dtype=np.uint64), np.diff(np.append(starts, codes.size)))
+    pairs = rows[:n] << np.uint64(42)
+    for i in range(length):  # 21 bits a character
+        pairs |= codes[i : n + i] << np.uint64(21 * (1 - i))
+    pairs = np.unique(pairs)
+    low = np.uint64((1 << 21) - 1)
+    runs = np.stack([(pairs >> np.uint64(21 * (1 - i))) & low for i in range(length)], axis=1).ravel()
+    return (pairs >> np.uint64(42)).astype(np.int64), gram_hashes(runs, length)[::length]
+
+
 def _length(word: Column) -> Column:
     size = F.length(word)
     return F.lit(LENGTHS[0]) if len(LENGTHS) == 1 else F.greatest(*[F.when(size >= n, n).otherwise(LENGTHS[0]) for n in LENGTHS])
@@ -83,6 +97,11 @@ def _hits(texts: DataFrame, wanted: Bloom, lengths: Sequence[int]) -> DataFrame:
             codes, starts = _codes(batch["_all"].to_pylist())
             names = batch["_text"].to_numpy()
             for length in lengths:
+                if length <= 2:
+                    rows, grams = _short_grams(codes, starts, length)
+                    at = wanted.has(grams)
+                    yield pa.RecordBatch.from_arrays([pa.array(names[rows[at]]), pa.array(grams[at].view(np.int64))], ["text", "gram"])
+                    continue
                 hashes = gram_hashes(codes, length)
                 rows, grams = _distinct(hashes, np.flatnonzero(wanted.has(hashes)), starts)
                 yield pa.RecordBatch.from_arrays([pa.array(names[rows]), pa.array(grams.view(np.int64))], ["text", "gram"])
@@ -107,7 +126,7 @@ def mention_join(
     lengths = sorted(sizes)
     lowered = [F.lower(F.coalesce(F.col(t), F.lit(""))) for t in texts]
     # lower-cased before the join, once a post: the test after it reads them for every candidate
-    named = posts.withColumns({"_text": F.xxhash64(*lowered), "_lowered": F.array(*lowered)})
+    named = posts.withColumns({"_text": F.xxhash64(*lowered), **{f"_lowered{i}": text for i, text in enumerate(lowered)}})
     read = named.select("_text", F.concat_ws(_GAP, *lowered).alias("_all"))
     if not lengths:
         return posts.withColumn(keyword, F.lit(None).cast("string")).limit(0)
@@ -118,5 +137,5 @@ def mention_join(
     index = settled(index.where("g.n > 0").select(keyword, F.col("g.gram").alias("gram")))
     found = _hits(read, Bloom.of(index, "gram"), lengths)
     candidates = found.join(index, "gram").select(F.col("text").alias("_text"), keyword).distinct()
-    hit = F.exists("_lowered", lambda text: F.contains(text, F.lower(keyword)))
-    return named.join(candidates, "_text").where(hit).drop("_text", "_lowered")
+    hit = reduce(Column.__or__, [F.contains(f"_lowered{i}", F.lower(keyword)) for i in range(len(lowered))])
+    return named.join(candidates, "_text").where(hit).drop("_text", *[f"_lowered{i}" for i in range(len(lowered))])
