@@ -3,13 +3,15 @@
 import random
 import re
 import sys
+import time
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickstone.llm import chat, containment, graph, jaccard, lines, mixing, topk
+from tickstone.llm import chat, common, containment, graph, jaccard, lines, mixing, topk
 from tickstone.llm.common import n_words
 from tickstone.llm.queries import QUERIES, SQL
 
@@ -90,6 +92,71 @@ def test_jaccard_finds_links_of_a_group_without_a_centre(spark):
     assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == plain_components(rows, 4, 85)
 
 
+def test_jaccard_large_sets_equal_brute_force(spark):
+    rnd, texts = random.Random(5), []
+    for size in (510, 560, 1000, 1040, 1900, 2100, 3000):  # copies lie on both sides of powers of two
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(size)]
+        for changed in (0, 2, 40, 44, 48, 60, 90):
+            copy = base[: size - rnd.randrange(size // 12)]
+            for at in rnd.sample(range(len(copy)), changed * size // 2000):
+                copy[at] = f"c{rnd.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    rows = [*enumerate(texts)]
+    got = jaccard.clusters(table(spark, rows), k=5, percent=80)
+    assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == plain_components(rows, 5, 80)
+
+
+def test_jaccard_reads_no_large_sets_that_only_share_passages(spark, monkeypatch):
+    rnd, read = random.Random(3), []
+    words = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    passages = [words(600) for _ in range(4)]
+    texts = [words(2000) + (passages[i % 4] if i < 24 else words(rnd.randrange(400)) + passages[0][:60]) for i in range(40)]
+    base = words(2500)  # the only links
+    texts += [" ".join(base), " ".join(base[:-30])]
+    rows = [(i, x if isinstance(x, str) else " ".join(x)) for i, x in enumerate(texts)]
+    real = jaccard._sets
+
+    def sets(docs, id_column, text, k, wanted):
+        read.extend(r["doc_id"] for r in wanted.collect())
+        return real(docs, id_column, text, k, wanted)
+
+    monkeypatch.setattr(jaccard, "_sets", sets)
+    got = jaccard.clusters(table(spark, rows), k=5, percent=80)
+    assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == plain_components(rows, 5, 80)
+    assert sorted(read) == [40, 41]
+
+
+def test_fine_parity_bits_fold():
+    values = np.unique(np.random.default_rng(1).integers(0, 1 << 62, 1500).astype(np.uint64))
+    large, small = jaccard._parity(values, 2048), jaccard._parity(values, 1024)
+    assert (large[:16] ^ large[16:] == small).all()
+
+
+def test_blocks_of_similar_sets_meet_without_their_most_common_ones(spark):
+    # sets 1 and 2 share keys 1 to 4 and must share three; 3 shares fewer than it must; keys 1 and 2 are common
+    rows = [(key, sid, 7, 3) for sid in (1, 2) for key in (1, 2, 3, 4)] + [(key, 3, 7, 3) for key in (1, 2)]
+    rows += [(key, sid, 8, 1) for sid in (4, 5, 6) for key in (1, 2)]
+    live = spark.createDataFrame(rows, "key long, sid long, band int, share int")
+    got = sorted(tuple(r) for r in jaccard._rarest(live).collect())
+    assert got == [(1, 4), (1, 5), (1, 6), (2, 4), (2, 5), (2, 6), (3, 1), (3, 2), (4, 1), (4, 2)]
+
+
+def test_written_leaves_no_shuffled_files(spark):
+    def files():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = files(), spark.conf.get(setting)
+    got = common.written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert sorted(r["count"] for r in got.collect()) == [142, 143, 143, 143, 143, 143, 143]
+    for _ in range(100):  # Spark deletes them in another thread
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+    assert spark.conf.get(setting) == was
+
+
 def test_one_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(40))
     docs = table(spark, [(5, text), (3, text.upper()), (9, text + " x"), (None, text), (1, "other words stand in this one"), (2, ""), (4, None)])

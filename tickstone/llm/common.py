@@ -20,14 +20,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+FILES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` computed once into a table of the shared folder, for results that several steps read."""
+    """``df`` computed once into a table of the shared folder, for results that several steps read.
+
+    What was shuffled for it is deleted with the last task, not when the driver's collector comes by.
+    """
     spark = df.sparkSession
     path = work_dir(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(FILES_GO, None)
+    spark.conf.set(FILES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(FILES_GO) if before is None else spark.conf.set(FILES_GO, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def collected(spark: SparkSession) -> None:
+    """Have the driver's collector find the shuffles that nothing refers to any more, so that Spark deletes their files.
+
+    Those of the last execution count as referred to until another one has run.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold(id_column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; NULL for a NULL id."""
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % folds

@@ -12,6 +12,10 @@ An empty block says nothing: unrelated sets have many.  A band has ``spare`` blo
 most ``spare`` empty blocks leaves them out; two such sets that are similar still share a filled block.  A set with
 more empty blocks keeps all of them.
 
+Similar sets share ``spare + 1`` blocks of a band, less the empty ones left out.  So a set leaves its most common
+blocks out as well, one fewer than it must share: of the blocks two similar sets share, the rarest is put forward by
+both.  A set that shares fewer blocks than it must drops out.  Groups are made of what is left.
+
 From the rows of shared blocks, links are found without listing all pairs of a group:
 
 1. In each block's group every set is compared with the group's best connected set.
@@ -21,8 +25,9 @@ From the rows of shared blocks, links are found without listing all pairs of a g
 
 A second sketch of ``BITS`` parity bits goes with every set.  Pairs whose bits differ in more places than
 similar sets of their sizes can differ in shingles are dropped before sets are read, in steps 2 and 3 inside the window or
-join, before they become rows; what is left is almost only links.  Pairs of step 3 must also share enough blocks of the band (``spare + 1`` less the
-empty ones left out).
+join, before they become rows.  These bits cannot tell sets of more than about ``2 BITS`` shingles apart.  Sets of more
+than ``BITS`` shingles have a third sketch, of at least as many parity bits as shingles, which goes with distinct pairs only;
+what is left is almost only links.
 
 Comparison is exact on the shingles' 64-bit numbers.  Documents with equal sets are one node throughout.
 A text that is NULL, empty or has no words has an empty set and links with nothing.  A document whose id is NULL takes
@@ -38,13 +43,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickstone.llm.common import may_match, text_batches, written
+from tickstone.llm.common import collected, may_match, text_batches, written
 from tickstone.llm.graph import components
 from tickstone.llm.shingles import mixed, set_number, shingles
 
 GROWTH = 1.5  # of band sizes
 PROBES = 3
-BITS = 512  # of the second sketch
+BITS = 512  # of the second sketch, a power of two
 
 
 def _bands(percent: int, largest: int = 1 << 40) -> list[tuple[int, int, int]]:
@@ -77,15 +82,20 @@ def _keys(values: np.ndarray, band: int, blocks: int, spare: int) -> tuple[np.nd
 _BIT_COLUMNS = [f"w{i}" for i in range(BITS // 64)]
 
 
-def _parity(values: np.ndarray) -> np.ndarray:
-    """The parity bits of a set, as signed 64-bit words."""
-    at = (mixed(values, 5) % np.uint64(BITS)).astype(np.int64)
-    odd = (np.bincount(at, minlength=BITS) & 1).astype(np.uint8)
+def _parity(values: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The parity bits of a set, as signed 64-bit words.  Both halves of twice as many bits, XORed, are these bits."""
+    at = (mixed(values, 5) % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(at, minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
+def _fine(values: np.ndarray) -> np.ndarray | None:
+    """The parity bits of a large set: the power of two from its size on."""
+    return _parity(values, 1 << (values.size - 1).bit_length()) if values.size > BITS else None
+
+
 def _slim(docs: DataFrame, id_column: str, text: str, k: int) -> DataFrame:
-    """(doc_id, th, sid, n_shingles, parity bits): ``th`` is xxhash64 of the text, ``sid`` numbers the set."""
+    """(doc_id, th, sid, n_shingles, fine, parity bits): ``th`` is xxhash64 of the text, ``sid`` numbers the set."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text"):
@@ -96,23 +106,25 @@ def _slim(docs: DataFrame, id_column: str, text: str, k: int) -> DataFrame:
                 batch.column(2),
                 pa.array([set_number(v) for v in sets], pa.int64()),
                 pa.array([v.size for v in sets], pa.int64()),
+                pa.array([_fine(v) for v in sets], pa.list_(pa.int64())),
                 *(pa.array(bits[:, i].copy()) for i in range(BITS // 64)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "th", "sid", "n_shingles", *_BIT_COLUMNS])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "th", "sid", "n_shingles", "fine", *_BIT_COLUMNS])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("th"))
-    kind = "doc_id long, th long, sid long, n_shingles long, " + ", ".join(f"{w} long" for w in _BIT_COLUMNS)
+    kind = "doc_id long, th long, sid long, n_shingles long, fine array<long>, " + ", ".join(f"{w} long" for w in _BIT_COLUMNS)
     return rows.mapInArrow(sketch, kind)
 
 
 def _blocks(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
-    """(key, sid, share): the blocks each set puts forward, and how many of them a similar one must share."""
+    """(key, sid, band, share): the blocks each set puts forward, and how many of a band a similar one must share."""
     bands = _bands(percent)
     tops = [top for top, _, _ in bands]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text"):
-            keys, sids, shares = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+            keys, sids = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+            of, shares = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
             for values in shingles(batch.column(0), k):
                 values = np.unique(values)
                 if not values.size:
@@ -124,11 +136,27 @@ def _blocks(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
                         found, share = _keys(values, b, *bands[b][1:])
                         keys.append(found)
                         sids.append(np.full(found.size, sid))
+                        of.append(np.full(found.size, b, dtype=np.int32))
                         shares.append(np.full(found.size, share, dtype=np.int32))
-            columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(sids)), pa.array(np.concatenate(shares))]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "sid", "share"])
+            columns = [pa.array(np.concatenate(keys).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (sids, of, shares))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "sid", "band", "share"])
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(sketch, "key long, sid long, band int, share int")
+
+
+def _of_several(rows: DataFrame, column: str = "sid") -> DataFrame:
+    """The rows of groups with several values of ``column``."""
+    group = Window.partitionBy("key")
+    rows = rows.withColumn("low", F.min(column).over(group)).withColumn("high", F.max(column).over(group))
+    return rows.where("low <> high").drop("low", "high")
+
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(sketch, "key long, sid long, share int")
+def _rarest(live: DataFrame) -> DataFrame:
+    """(key, sid) without the most common blocks of each set and band, one fewer than a similar set must share."""
+    live = live.withColumn("n", F.count("*").over(Window.partitionBy("key")))
+    own = Window.partitionBy("sid", "band").orderBy(F.desc("n"), F.desc("key"))
+    rare = live.withColumn("place", F.row_number().over(own)).where("place >= share")
+    return _of_several(rare.select("key", "sid"))
 
 
 def _sets(docs: DataFrame, id_column: str, text: str, k: int, wanted: DataFrame) -> DataFrame:
@@ -146,12 +174,26 @@ def _sets(docs: DataFrame, id_column: str, text: str, k: int, wanted: DataFrame)
     return may_match(rows, wanted, "doc_id").mapInArrow(read, "sid long, values array<long>").where("sid <> 0")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, one: DataFrame, id_column: str, text: str, k: int, percent: int) -> DataFrame:
+def _alike(pairs: DataFrame, slim: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets can be similar by their fine parity bits, or are too small to have them."""
+    fine = slim.where("fine is not null").dropDuplicates(["sid"]).select("sid", F.struct("n_shingles", "fine").alias("x"))
+    both = pairs.join(fine.withColumnsRenamed({"sid": "a"}), "a", "left")
+    both = both.join(fine.withColumnsRenamed({"sid": "b", "x": "y"}), "b", "left")
+    x, y = F.col("x.fine"), F.col("y.fine")
+    words, most = F.least(F.size(x), F.size(y)), F.greatest(F.size(x), F.size(y))
+    xor = lambda v, w: v.bitwiseXOR(w)
+    folded = lambda v: F.when(F.size(v) > words, F.zip_with(F.slice(v, 1, words), F.slice(v, words + 1, words), xor)).otherwise(v)
+    apart = F.aggregate(F.zip_with(folded(x), folded(y), xor), F.lit(0), lambda n, v: n + F.bit_count(v))
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("x.n_shingles") + F.col("y.n_shingles"))
+    return both.where(F.coalesce((most > 2 * words) | near, F.lit(True))).select("a", "b")
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, slim: DataFrame, one: DataFrame, id_column: str, text: str, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of set numbers whose sets are similar; the texts of these sets are read once more.
 
     Sets are as large as texts and are merged at every size: broadcasting either side would not hold at another.
     """
-    pairs = written(pairs, "pairs")
+    pairs = written(_alike(written(pairs, "pairs"), slim, percent), "alike")
     members = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
     sets = _sets(docs, id_column, text, k, one.join(members, "sid", "left_semi"))
     left = sets.select(F.col("sid").alias("a"), F.col("values").alias("x"))
@@ -172,28 +214,24 @@ def _near(a: str, b: str, percent: int) -> Column:
 
 def _held(live: DataFrame, links: DataFrame) -> DataFrame:
     """Rows of the groups that the links leave in several components, with their component."""
-    group = Window.partitionBy("key")
     known = components(links)
     rows = live.join(known, live["sid"] == known["node"], "left")
-    rows = rows.select("key", "sid", "share", F.coalesce("component", "sid").alias("part"))
-    rows = rows.withColumn("low", F.min("part").over(group)).withColumn("high", F.max("part").over(group))
-    return written(rows.where("low <> high").select("key", "sid", "share", "part"), "held")
+    return written(_of_several(rows.select("key", "sid", F.coalesce("component", "sid").alias("part")), "part"), "held")
 
 
 def links(docs: DataFrame, id_column: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80):
     """Two tables: (doc_id, th, sid, n_shingles, ...) of the documents, and (a, b) of linked set numbers that connect all
     linked sets."""
     slim = written(_slim(docs, id_column, text, k), "sets")
+    collected(docs.sparkSession)  # what came before may have shuffled as much as what follows
     filled = slim.where("n_shingles > 0")
     one = filled.groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     bits = filled.groupBy("sid").agg(*[F.first(c).alias(c) for c in ("n_shingles", *_BIT_COLUMNS)])
-    compared = lambda pairs: _linked(pairs, docs, one, id_column, text, k, percent)
+    compared = lambda pairs: _linked(pairs, docs, slim, one, id_column, text, k, percent)
     ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     # groups of several sets
     group = Window.partitionBy("key")
-    live = _blocks(docs, text, k, percent)
-    live = live.withColumn("low", F.min("sid").over(group)).withColumn("high", F.max("sid").over(group))
-    live = written(live.where("low <> high").select("key", "sid", "share").distinct(), "blocks")
+    live = written(_rarest(_of_several(_blocks(docs, text, k, percent)).distinct()), "blocks")
     # the best connected set of a group leads it
     sizes = live.groupBy("key").agg((F.count("*") - 1).alias("others"))
     ties = live.join(sizes, "key").groupBy("sid").agg(F.sum("others").alias("ties"))
@@ -213,10 +251,10 @@ def links(docs: DataFrame, id_column: str = "doc_id", text: str = "text", k: int
     found = written(found.union(compared(pairs.distinct())), "linked")
     # what is left
     held = _held(held.drop("part"), found)
-    rows = held.join(bits, "sid").select("key", F.struct("sid", "part", "share", "n_shingles", *_BIT_COLUMNS).alias("x"))
+    rows = held.join(bits, "sid").select("key", row.alias("x"))
     both = rows.join(rows.withColumnRenamed("x", "y"), "key").where(F.expr("x.sid < y.sid and x.part <> y.part") & _near("x", "y", percent))
-    both = both.groupBy(*ordered("x.sid", "y.sid")).agg(F.count("*").alias("n"), F.max(F.greatest("x.share", "y.share")).alias("least"))
-    return slim, written(found.union(compared(both.where("n >= least").select("a", "b"))), "links")
+    pairs = both.select(*ordered("x.sid", "y.sid")).distinct()
+    return slim, written(found.union(compared(pairs)), "links")
 
 
 def clusters(docs: DataFrame, id_column: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
